@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from landchange.operators.components import star_components
 from landchange.session import shuffle_parts, stage
 
 #: Links that one task merges; above, star rounds do the rest. Bundles of small groups that are dealt out at once.
@@ -60,22 +61,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         forest = stage(forest.coalesce(parts).mapInPandas(local_forest, forest_ddl), "forest")
         if parts == 1:
             return forest.select(F.col("a").alias("node"), F.col("b").alias("root")).distinct()
-    # star rounds: each node's neighbours hang on its least neighbour until nothing moves
-    now = forest.where("a <> b").distinct()
-    nodes = forest.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    while True:
-        both = now.select(F.col("a").alias("n"), F.col("b").alias("m")).union(now.select("b", "a"))
-        least = both.groupBy("n").agg(F.min("m").alias("m")).select("n", F.least("n", "m").alias("low"))
-        large = both.join(least, "n").where("m > n").select(F.col("m").alias("a"), F.col("low").alias("b"))  # larger neighbours
-        down = large.where("a <> b").select(F.greatest("a", "b").alias("n"), F.least("a", "b").alias("m"))
-        low = down.groupBy("n").agg(F.min("m").alias("low"))
-        small = down.join(low, "n").select(F.col("m").alias("a"), F.col("low").alias("b")).union(low.select("n", "low"))
-        nxt = stage(small.where("a <> b").distinct(), "stars")
-        moved = nxt.join(now, ["a", "b"], "left_anti").limit(1).count() + now.join(nxt, ["a", "b"], "left_anti").limit(1).count()
-        now = nxt
-        if not moved:
-            break
-    return nodes.join(now, nodes["node"] == now["a"], "left").select("node", F.coalesce("b", "node").alias("root"))
+    rest = star_components(forest)
+    return rest.select("node", "root")
 
 
 def plain_name(name: Column) -> Column:
