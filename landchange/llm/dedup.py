@@ -130,7 +130,8 @@ def _candidates(asking: DataFrame, held: DataFrame, extra: list[str], least: flo
     height = F.least("p.y1", "q.y1") - F.greatest("p.y0", "q.y0")
     may = (F.least("p.area", "q.area") >= F.greatest("p.area", "q.area") * (least - 1e-9)) & (width > 0) & (height > 0)
     may &= width * height >= (F.col("p.area") + F.col("q.area")) * (least / (1 + least) - 1e-9)
-    match = (F.col("p.cell") == F.col("q.cell")) & (F.col("p.year") == F.col("q.year")) & may
+    # the cell's hash has the year in it; as a further join key the year would make a bucketed side move
+    match = (F.col("p.cell") == F.col("q.cell")) & (F.abs(F.col("p.year") - F.col("q.year")) < 1) & may
     return p.join(q, match).select(F.col("p.cls").alias("a"), F.col("q.cls").alias("b"), *(F.col(f"q.{c}") for c in extra)).distinct()
 
 
@@ -172,10 +173,11 @@ class History:
         found = found.join(past.select(F.col("cls").alias("b"), F.col("edges").alias("edges_b")), "b").join(edges.select(F.col("cls").alias("a"), F.col("edges").alias("edges_a")), "a")
         alike = same_outlines(found, self.least).select(F.col("a").alias("cls"), "first")
         equal = own.select("cls").join(past.select("cls", "first"), "cls")
-        by_outline = alike.union(equal).groupBy("cls").agg(F.min("first").alias("by_outline"))
-        by_id = self.spark.table(self.names["ids"]).withColumnRenamed("first", "by_id")  # an id is accepted once
-        known = batch.select("rev_key", "id_key", "cls").join(by_id, "id_key", "left").join(by_outline, "cls", "left")
-        known = stage(known.select("rev_key", "id_key", "cls", F.least("by_id", "by_outline").alias("first")), "known")
+        by_outline = alike.union(equal).groupBy("cls").agg(F.min("first").alias("first"))
+        # inner joins only: rows without an id or outline, however many, go nowhere
+        hits = batch.select("rev_key", "id_key").join(self.spark.table(self.names["ids"]), "id_key").select("rev_key", "first")
+        hits = hits.union(batch.select("rev_key", "cls").join(by_outline, "cls").select("rev_key", "first")).groupBy("rev_key").agg(F.min("first").alias("first"))
+        known = stage(batch.select("rev_key", "id_key", "cls").join(hits, "rev_key", "left"), "known")
 
         pairs = _candidates(asking, offered, [], self.least).where("a <> b")
         pairs = pairs.join(edges.select(F.col("cls").alias("b"), F.col("edges").alias("edges_b")), "b").join(edges.select(F.col("cls").alias("a"), F.col("edges").alias("edges_a")), "a")
