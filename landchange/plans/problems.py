@@ -64,4 +64,54 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (p1_found, p1_comparisons, p1_sides, p1_scenes, p1_protected_areas, p1_area_changes, p1_footprints, p2_found)}
 
 #: Brute-force SQL where it is quick on whole tables.
-ORACLE: dict[str, str] = {}
+_TEXT = "CASE WHEN json_type({0}) = 'VARCHAR' AND json_valid({0} ->> '$') THEN CAST({0} ->> '$' AS JSON) ELSE {0} END"
+_LIST = "CASE json_type({0}) WHEN 'ARRAY' THEN CAST({0} AS JSON[]) WHEN 'NULL' THEN [] ELSE [{0}] END"
+_NAME = "CASE WHEN json_type({0} -> '{1}') <> 'NULL' THEN {0} -> '{1}' ELSE {0} -> '{2}' END"
+
+
+def _children_sql() -> str:
+    """All children by DuckDB's JSON functions; the nested table takes the way over JSON too."""
+    named = lambda x, a, b: _NAME.format(x, a, b)
+    return f"""
+WITH t AS (SELECT rec_id, CASE WHEN starts_with(body, chr(65279)) THEN substr(body, 2) ELSE body END AS body FROM analysis_raw),
+b AS (SELECT rec_id, to_json({{'comparisons': comparisons, 'footprint': footprint, 'protectedAreas': "protectedAreas"}}) AS j FROM analysis
+ UNION ALL SELECT rec_id, CAST(body AS JSON) FROM t WHERE json_valid(body)),
+w AS (SELECT rec_id, CASE WHEN len(json_keys(j)) = 1 AND json_type(j -> ('$."' || json_keys(j)[1] || '"')) = 'OBJECT' THEN j -> ('$."' || json_keys(j)[1] || '"') ELSE j END AS j
+ FROM b WHERE json_type(j) = 'OBJECT'),
+f AS (SELECT rec_id, j -> 'comparisons' AS c, j -> 'footprint' AS f, {named("j", "protectedAreas", "protected_areas")} AS p FROM w),
+g AS (SELECT rec_id, {_TEXT.format("c")} AS c, {_TEXT.format("f")} AS f, {_TEXT.format("p")} AS p FROM f),
+l AS (SELECT rec_id, {_LIST.format("c")} AS c, f, {_LIST.format("p")} AS p FROM g),
+c0 AS (SELECT rec_id, unnest(c) AS x, generate_subscripts(c, 1) - 1 AS i FROM l WHERE len(c) > 0),
+c1 AS (SELECT rec_id, 'comparisons/' || i AS path, {_TEXT.format("x")} AS x FROM c0),
+c2 AS (SELECT * FROM c1 WHERE json_type(x) = 'OBJECT'),
+s0 AS (SELECT rec_id, path || '/before' AS path, x -> 'before' AS x FROM c2 UNION ALL SELECT rec_id, path || '/after', x -> 'after' FROM c2),
+s1 AS (SELECT rec_id, path, {_TEXT.format("x")} AS x FROM s0), s2 AS (SELECT * FROM s1 WHERE json_type(x) = 'OBJECT'),
+n0 AS (SELECT rec_id, path, {named("x", "sceneIds", "scene_ids")} AS x FROM s2), n1 AS (SELECT rec_id, path, {_TEXT.format("x")} AS x FROM n0),
+n2 AS (SELECT rec_id, path, {_LIST.format("x")} AS x FROM n1),
+n3 AS (SELECT rec_id, path || '/sceneIds/' || (generate_subscripts(x, 1) - 1) AS path, unnest(x) AS x FROM n2 WHERE len(x) > 0),
+p0 AS (SELECT rec_id, unnest(p) AS x, generate_subscripts(p, 1) - 1 AS i FROM l WHERE len(p) > 0),
+p1 AS (SELECT rec_id, 'protectedAreas/' || i AS path, {_TEXT.format("x")} AS x FROM p0), p2 AS (SELECT * FROM p1 WHERE json_type(x) = 'OBJECT'),
+h0 AS (SELECT rec_id, path, x -> 'change' AS x FROM p2), h1 AS (SELECT rec_id, path, {_TEXT.format("x")} AS x FROM h0),
+h2 AS (SELECT rec_id, path, x, unnest(json_keys(x)) AS k FROM h1 WHERE json_type(x) = 'OBJECT'),
+h3 AS (SELECT rec_id, path || '/change/' || k AS path, x -> ('$."' || k || '"') AS x FROM h2), h4 AS (SELECT rec_id, path, {_TEXT.format("x")} AS x FROM h3)
+SELECT rec_id, 'comparison' AS child, path FROM c2 UNION ALL SELECT rec_id, 'side', path FROM s2 UNION ALL SELECT rec_id, 'scene', path FROM n3 WHERE json_type(x) <> 'NULL'
+UNION ALL SELECT rec_id, 'footprint', 'footprint' FROM l WHERE json_type(f) = 'OBJECT' UNION ALL SELECT rec_id, 'protected_area', path FROM p2
+UNION ALL SELECT rec_id, 'area_change', path FROM h4 WHERE json_type(x) = 'OBJECT'"""
+
+
+ORACLE = {
+    "p1_found": _children_sql(),
+    "p2_found": """
+WITH c AS (SELECT DISTINCT cand_key, year, lon, lat FROM candidates WHERE lon BETWEEN -180 AND 180 AND lat BETWEEN -90 AND 90),
+near AS (SELECT a.cand_key, 'candidate' AS other_kind, b.cand_key AS other_key FROM c a JOIN c b ON a.year = b.year AND a.cand_key < b.cand_key
+ WHERE 2 * 6371007.2 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))) <= 50),
+g AS (SELECT area_key, json_extract_string(geometry, '$.type') AS kind, json_extract(geometry, '$.coordinates') AS x FROM protected_areas WHERE kind = 'area'),
+polygons AS (SELECT area_key, 0 AS part, CAST(x AS DOUBLE[][][]) AS rings FROM g WHERE kind = 'Polygon' UNION ALL
+ SELECT area_key, generate_subscripts(CAST(x AS JSON[]), 1), CAST(unnest(CAST(x AS JSON[])) AS DOUBLE[][][]) FROM g WHERE kind = 'MultiPolygon'),
+r AS (SELECT area_key, part, unnest(rings) AS ring FROM polygons),
+i AS (SELECT area_key, part, ring, unnest(generate_series(1, len(ring) - 1)) AS i FROM r),
+e AS (SELECT area_key, part, ring[i][1] AS x0, ring[i][2] AS y0, ring[i + 1][1] AS x1, ring[i + 1][2] AS y1 FROM i),
+inside AS (SELECT cand_key, area_key, part FROM c JOIN e ON (e.y0 > c.lat) <> (e.y1 > c.lat) AND c.lon < (e.x1 - e.x0) * (c.lat - e.y0) / (e.y1 - e.y0) + e.x0
+ GROUP BY ALL HAVING count(*) % 2 = 1)
+SELECT * FROM near UNION ALL SELECT DISTINCT cand_key, 'area', area_key FROM inside""",
+}
