@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from landchange.functions import crs, pixels as P, text
 from landchange.operators import change, clouds, components, focal, geometry as G, learn, metrics, mosaic, records
 from landchange.plans import layers as L
-from landchange.session import shared_dir
+from landchange.session import shared_dir, stage
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -626,11 +626,28 @@ def isotonic_calibration(spark, d):
 
 @query()
 def leave_one_region_out(spark, d):
-    """[L2-L6, L8] average precision of the largest training regions, each scored by a model of the other regions"""
-    rows = _labelled(spark, d).join(F.broadcast(spark.read.parquet(f"{d}/ml_regions.parquet").where("split = 'train'").select(F.col("name").alias("region"))), "region")
-    held = [r["region"] for r in rows.groupBy("region").count().orderBy(F.desc("count"), "region").limit(2).collect()]
-    scored = learn.leave_one_region_out(rows, held, 60, _KEYS, lambda s: learn.fit_forest(s, trees=20)).withColumn("mining", F.col("y") == 0)
-    return metrics.average_precision(metrics.pr_curve(scored, "p", "mining", ["region"]), ["region"])
+    """[L1, L3-L6, L8] a forest for each training region from the others, and one of all of them for the test regions"""
+    regions = spark.read.parquet(f"{d}/ml_regions.parquet").where("split IN ('train', 'test')").select(F.col("name").alias("region"), "split")
+    return _evaluated(spark.read.parquet(f"{d}/features.parquet").dropDuplicates(_KEYS).join(F.broadcast(regions), "region"))
+
+
+def _evaluated(rows: DataFrame, most: int = 4000, fit=learn.fit_forest) -> DataFrame:
+    """(split, region, threshold, ap, positive_share, precision, recall, p_at_25, p_at_50, p_at_75) of every region, and with
+    region NULL of each split's rows pooled. split is train for out-of-fold scores; the threshold is theirs for precision 0.75."""
+    rows = stage(rows, "learn")
+    train, pixels = rows.where("split = 'train' AND y BETWEEN 0 AND 5"), learn.scoring_set(rows)
+    held = [r["region"] for r in pixels.where("split = 'train'").select("region").distinct().orderBy("region").collect()]
+    folds = learn.leave_one_region_out(train, pixels, held, most, _KEYS, fit)
+    model = fit(learn.stratified_sample(train, ["region", "y"], most, _KEYS))
+    scored = stage(folds.unionByName(learn.mining_probability(pixels.where("split = 'test'"), model)).select("split", "region", "p", "mining"), "scored")
+    threshold = metrics.threshold_for(metrics.pr_curve(scored.where("split = 'train'"), "p", "mining", ["split"]), 0.75, ["split"]).first()["threshold"]
+
+    def report(by: list[str]) -> DataFrame:
+        curve = metrics.pr_curve(scored, "p", "mining", by)
+        return metrics.average_precision(curve, by).join(metrics.precision_at_recall(curve, [0.25, 0.5, 0.75], by), by).join(metrics.at_threshold(scored, "p", "mining", threshold, by), by)
+
+    columns = ["split", "region", F.lit(threshold).alias("threshold"), "ap", "positive_share", "precision", "recall", "p_at_25", "p_at_50", "p_at_75"]
+    return report(["split", "region"]).select(columns).unionByName(report(["split"]).withColumn("region", F.lit(None).cast("string")).select(columns))
 
 
 # ---- candidates, reviews, documents
