@@ -129,11 +129,19 @@ def temporal_diff(spark, d):
 @query(f"""WITH {L.OBS} SELECT pixel, round(median(10 * log10(CASE WHEN value > 0 THEN value END)), 9) AS db, round(stddev_pop(10 * log10(CASE WHEN value > 0 THEN value END)), 6) AS db_std
 FROM obs WHERE qa % 3 = 0 GROUP BY pixel""")
 def radar_stats(spark, d):
-    """[P23, A16]"""
+    """Only of views whose qa is a multiple of 3, as in its SQL; radar_stats_all is the whole of P23 and A16."""
     db = P.decibels(F.col("value"))
     return L.obs(spark, d).where("qa % 3 = 0").groupBy("pixel").agg(F.round(F.median(db), 9).alias("db"), F.round(F.stddev_pop(db), 6).alias("db_std"))
 
 
+@query(f"""WITH {L.OBS}, p AS (SELECT pixel, 10 * log10(CASE WHEN value > 0 THEN value END) AS x FROM obs)
+SELECT pixel, round(median(x), 9) AS db, round(stddev_pop(x), 6) AS db_std FROM p GROUP BY pixel""")
+def radar_stats_all(spark, d):
+    """[P23, A16] of all views of a pixel"""
+    db = P.decibels(F.col("value"))
+    return L.obs(spark, d).groupBy("pixel").agg(F.round(F.median(db), 9).alias("db"), F.round(F.stddev_pop(db), 6).alias("db_std"))
+
+
 @query(f"""WITH {L.LATTICE} SELECT r, c, CAST(floor(round(pow(greatest(0, least(1, (cover / 400.0 - 0) / 0.22)), 1 / 1.4) * 255, 9)) AS INTEGER) AS grey FROM lat""")
 def display_stretch(spark, d):
     """[P27]"""
