@@ -6,9 +6,14 @@ Measures are Column expressions; what rebuilds outlines is an Arrow kernel.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from landchange.functions import crs, geojson
+
 
 def ring_pairs(ring: Column) -> Column:
     """Segments (a, b) of a ring."""
@@ -67,6 +72,86 @@ def zone_of_points(points: DataFrame, keys: list[str], x: str, y: str, polygons:
     return out.where(F.col("inside") | (F.col("distance") <= buffer)).withColumn("in_buffer", ~F.col("inside"))
 
 
+def geojson_polygons(text: Column) -> Column:
+    """GeoJSON texts as geometries, as an Arrow kernel; NULL where a text has no polygon."""
+
+    @F.pandas_udf(f"ARRAY<ARRAY<{RING_DDL}>>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([[[[{"x": x, "y": y} for x, y in ring] for ring in rings] for rings in geojson.polygons(t)] or None for t in texts], dtype=object)
+
+    return run(text)
+
+
+def measured_ha(areas: DataFrame, geometry: str, out: str = "measured") -> DataFrame:
+    """[X11] adds the area of a geometry in degrees, in hectares in the UTM zone of its box's middle."""
+    x = F.transform(F.flatten(F.flatten(geometry)), lambda p: p["x"])
+    zoned = areas.withColumn("_zone", crs.utm_zone((F.array_min(x) + F.array_max(x)) / 2))
+
+    def metres(p: Column) -> Column:
+        e, n = crs.utm_forward(p["x"], p["y"], F.col("_zone"))
+        return F.struct(e.alias("x"), n.alias("y"))
+
+    planar = F.transform(F.col(geometry), lambda polygon: F.transform(polygon, lambda ring: F.transform(ring, metres)))
+    return zoned.withColumn(out, F.aggregate(F.transform(planar, polygon_area), F.lit(0.0), lambda a, v: a + v) / 10000).drop("_zone")
+
+
+def placed(rings: list, lon: float, lat: float, pixel_m: float) -> list[list[tuple[float, float]]]:
+    """Rings in pixels (x right, y down) as closed rings in degrees, their centre of area at (lon, lat)."""
+    area, mx, my = 0.0, 0.0, 0.0
+    for pts in rings:
+        cross = [(a[0] * b[1] - b[0] * a[1], a, b) for a, b in zip(pts, [*pts[1:], pts[0]])]
+        twice = sum(k for k, _, _ in cross)
+        sign = 1 if twice > 0 else -1
+        area += sign * twice
+        mx, my = mx + sign * sum(k * (a[0] + b[0]) for k, a, b in cross), my + sign * sum(k * (a[1] + b[1]) for k, a, b in cross)
+    if not area:
+        return []
+    cx, cy, degree = mx / (3 * area), my / (3 * area), math.radians(1) * crs.EARTH_R
+    place = lambda p: (lon + (p[0] - cx) * pixel_m / (degree * math.cos(math.radians(lat))), lat - (p[1] - cy) * pixel_m / degree)
+    return [[*map(place, pts), place(pts[0])] for pts in rings]
+
+
+def placed_outlines(rings: Column, lon: Column, lat: Column, pixel_m: float = 20.0) -> Column:
+    """Outlines in pixels as a geometry in degrees around their stored position, as an Arrow kernel; NULL where the position is
+    impossible. The centre of area of all rings goes there."""
+
+    @F.pandas_udf(f"ARRAY<ARRAY<{RING_DDL}>>")
+    def run(outlines: pd.Series, lons: pd.Series, lats: pd.Series) -> pd.Series:
+        out = []
+        for parts, x, y in zip(outlines, lons, lats):
+            ok = parts is not None and x is not None and y is not None and abs(x) <= 180 and abs(y) < 90
+            rings = [[(float(p[0]), float(p[1])) for p in part] for part in (parts if ok else []) if part is not None and len(part) > 2]
+            out.append([[[{"x": a, "y": b} for a, b in ring]] for ring in placed(rings, x, y, pixel_m)] or None)
+        return pd.Series(out, dtype=object)
+
+    return run(rings, lon, lat)
+
+
+def cells_of(geometry: Column, step: float) -> Column:
+    """[X2, X15] cells (r, c) of a lattice of `step` whose centres lie in a geometry, even-odd, as an Arrow kernel."""
+
+    @F.pandas_udf("ARRAY<STRUCT<r:BIGINT,c:BIGINT>>")
+    def run(shapes: pd.Series) -> pd.Series:
+        out = []
+        for polygons in shapes:
+            ends = [(a["x"], a["y"], b["x"], b["y"]) for polygon in (polygons if polygons is not None else []) for ring in polygon for a, b in zip(ring[:-1], ring[1:])]
+            if not ends:
+                out.append(None)
+                continue
+            x0, y0, x1, y1 = np.array(ends).T
+            cells = []
+            for r in range(math.floor(min(y0.min(), y1.min()) / step), math.floor(max(y0.max(), y1.max()) / step) + 1):
+                y = (r + 0.5) * step
+                cut = (y0 > y) != (y1 > y)
+                xs = np.sort((x1[cut] - x0[cut]) * (y - y0[cut]) / (y1[cut] - y0[cut]) + x0[cut])
+                for left, right in zip(xs[::2], xs[1::2]):
+                    cells += [{"r": r, "c": c} for c in range(math.ceil(left / step - 0.5), math.ceil(right / step - 0.5))]
+            out.append(cells)
+        return pd.Series(out, dtype=object)
+
+    return run(geometry)
+
+
 def area_gate(areas: DataFrame, measured: str, stated: str, tolerance: float = 0.03) -> DataFrame:
     """[X11, D4] areas whose measure is off the stated one by more than the tolerance; without a stated area none."""
     off = F.abs(F.col(measured) - F.col(stated)) / F.col(stated)

@@ -23,6 +23,15 @@ def query(sql: str | None = None):
     return add
 
 
+def _rings_sql(source: str) -> str:
+    """points (k, part, nr, i, x, y) of the polygons of source (k, g JSON), rings as stored."""
+    return f"""WITH src AS ({source}), gj AS (SELECT k, CASE WHEN json_extract_string(g, '$.type') = 'Feature' THEN json_extract(g, '$.geometry') ELSE g END AS g FROM src),
+ gp AS (SELECT k, 1 AS part, CAST(json_extract(g, '$.coordinates') AS DOUBLE[][][]) AS rings FROM gj WHERE json_extract_string(g, '$.type') = 'Polygon' UNION ALL
+  SELECT k, generate_subscripts(CAST(json_extract(g, '$.coordinates') AS JSON[]), 1), CAST(unnest(CAST(json_extract(g, '$.coordinates') AS JSON[])) AS DOUBLE[][][]) FROM gj WHERE json_extract_string(g, '$.type') = 'MultiPolygon'),
+ gr AS (SELECT k, part, generate_subscripts(rings, 1) AS nr, unnest(rings) AS ring FROM gp), gs AS (SELECT k, part, nr, generate_subscripts(ring, 1) AS i, unnest(ring) AS p FROM gr),
+ points AS (SELECT k, part, nr, i, p[1] AS x, p[2] AS y FROM gs)"""
+
+
 # ---- masks, reflectance, indices
 
 REFL = f"""WITH {L.OBS}, v AS (SELECT *, (qa & 31) = 0 AS clear,
@@ -332,11 +341,26 @@ def polygon_area(spark, d):
 
 @query("SELECT area_key, round(abs(stated_area_ha - 100000) / stated_area_ha, 9) AS off FROM protected_areas WHERE abs(stated_area_ha - 100000) / stated_area_ha > 0.03")
 def area_gate(spark, d):
-    """[X11, D4]"""
+    """The gate alone, over one stand-in for all measures, as in its SQL; area_gate_measured is X11 and D4."""
     areas = spark.read.parquet(f"{d}/protected_areas.parquet").withColumn("measured", F.lit(100000.0))
     return G.area_gate(areas, "measured", "stated_area_ha").select("area_key", F.round("off", 9).alias("off"))
 
 
+@query(f"""{_rings_sql("SELECT area_key AS k, CAST(geometry AS JSON) AS g FROM protected_areas")},
+ z AS (SELECT k, CAST(floor(((min(x) + max(x)) / 2 + 180) / 6) + 1 AS INTEGER) AS zone FROM points GROUP BY k),
+ t AS (SELECT *, radians(y) AS phi, radians(x - (zone * 6 - 183)) AS lam, {crs._E!r} AS e FROM points JOIN z USING (k)),
+ u AS (SELECT *, sinh(atanh(sin(phi)) - e * atanh(e * sin(phi))) AS t FROM t), v AS (SELECT *, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta FROM u),
+ m AS (SELECT k, part, nr, i, {0.9996 * crs._A!r} * (eta + {crs._ALPHA[0]!r} * cos(2 * xi) * sinh(2 * eta) + {crs._ALPHA[1]!r} * cos(4 * xi) * sinh(4 * eta) + {crs._ALPHA[2]!r} * cos(6 * xi) * sinh(6 * eta)) AS e,
+  {0.9996 * crs._A!r} * (xi + {crs._ALPHA[0]!r} * sin(2 * xi) * cosh(2 * eta) + {crs._ALPHA[1]!r} * sin(4 * xi) * cosh(4 * eta) + {crs._ALPHA[2]!r} * sin(6 * xi) * cosh(6 * eta)) AS n FROM v),
+ a AS (SELECT a.k, a.part, a.nr, abs(sum(a.e * b.n - b.e * a.n)) / 20000 AS ha FROM m a JOIN m b ON a.k = b.k AND a.part = b.part AND a.nr = b.nr AND b.i = a.i + 1 GROUP BY ALL),
+ h AS (SELECT k, sum(CASE WHEN nr = 1 THEN ha ELSE -ha END) AS measured FROM a GROUP BY k)
+SELECT area_key, round(measured, 3) AS measured, round(abs(measured - stated_area_ha) / stated_area_ha, 7) AS off FROM protected_areas JOIN h ON k = area_key WHERE abs(measured - stated_area_ha) / stated_area_ha > 0.03""")
+def area_gate_measured(spark, d):
+    """[X11, D4] areas whose outline's area in UTM is more than 3 % off the stated one; buffer lines have none"""
+    areas = spark.read.parquet(f"{d}/protected_areas.parquet").withColumn("g", G.geojson_polygons(F.col("geometry")))
+    return G.area_gate(G.measured_ha(areas, "g"), "measured", "stated_area_ha").select("area_key", F.round("measured", 3).alias("measured"), F.round("off", 7).alias("off"))
+
+
 @query("SELECT 'ell' AS zone, 'M 32.0,2.0 L 48.0,2.0 L 48.0,8.0 L 38.0,8.0 L 38.0,20.0 L 32.0,20.0 Z' AS path UNION ALL SELECT 'tri', 'M 10.0,35.0 L 40.0,35.0 L 25.0,49.0 Z'")
 def svg_paths(spark, d):
     """[K14]"""
@@ -697,12 +721,41 @@ def decision_counts(spark, d):
  s AS (SELECT candidate, review, count(*) AS n FROM x JOIN y USING (cell) GROUP BY ALL), cx AS (SELECT candidate, count(*) AS a FROM x GROUP BY 1), cy AS (SELECT review, count(*) AS b FROM y GROUP BY 1)
 SELECT candidate, review, n / (a + b - n) AS iou FROM s JOIN cx USING (candidate) JOIN cy USING (review) WHERE n / (a + b - n) >= 0.05 QUALIFY row_number() OVER (PARTITION BY candidate ORDER BY n / (a + b - n) DESC, review DESC) = 1""")
 def relink_iou(spark, d):
-    """[J8, X15]"""
+    """The join alone, over stand-ins at an IoU of 0.05, as in its SQL; relink_outlines is J8 and X15."""
     e = spark.read.parquet(f"{d}/events.parquet")
     cell = lambda kind, m, n: e.where(F.col("event_type") == kind).select((F.col("user_id") % m).alias(n), F.col("user_id").alias("r"), F.lit(0).alias("c")).distinct()
     return records.relink(cell("view", 20, "candidate"), cell("click", 23, "review").withColumn("ord", F.col("review")), 0.05)
 
 
+#: Degrees, some 11 m: cells on which outlines are compared.
+_CELL = 0.0001
+
+
+@query(f"""{_rings_sql('SELECT rev_key AS k, CAST(geometry AS JSON) AS g FROM reviews WHERE "reviewId" IS NOT NULL AND json_valid(geometry)')},
+ c AS (SELECT DISTINCT cand_key AS k, "ringsPx"[1] AS ring, lon, lat FROM candidates WHERE len("ringsPx") = 1 AND lon BETWEEN -180 AND 180 AND lat > -90 AND lat < 90),
+ cs AS (SELECT k, lon, lat, ring, unnest(range(1, len(ring) + 1)) AS i FROM c), ce AS (SELECT k, lon, lat, ring[i][1] AS x0, ring[i][2] AS y0, ring[i % len(ring) + 1][1] AS x1, ring[i % len(ring) + 1][2] AS y1 FROM cs),
+ cc AS (SELECT k, sum((x0 * y1 - x1 * y0) * (x0 + x1)) / (3 * sum(x0 * y1 - x1 * y0)) AS cx, sum((x0 * y1 - x1 * y0) * (y0 + y1)) / (3 * sum(x0 * y1 - x1 * y0)) AS cy FROM ce GROUP BY k),
+ w AS (SELECT *, radians(1) * {crs.EARTH_R} AS deg FROM ce JOIN cc USING (k)),
+ e AS (SELECT 'c' AS kind, k, lon + (x0 - cx) * 20 / (deg * cos(radians(lat))) AS x0, lat - (y0 - cy) * 20 / deg AS y0, lon + (x1 - cx) * 20 / (deg * cos(radians(lat))) AS x1, lat - (y1 - cy) * 20 / deg AS y1 FROM w
+  UNION ALL SELECT 'r', a.k, a.x, a.y, b.x, b.y FROM points a JOIN points b ON a.k = b.k AND a.part = b.part AND a.nr = b.nr AND b.i = a.i + 1),
+ er AS (SELECT *, unnest(range(CAST(floor(least(y0, y1) / {_CELL}) AS BIGINT), CAST(floor(greatest(y0, y1) / {_CELL}) AS BIGINT) + 1)) AS r FROM e),
+ x AS (SELECT kind, k, r, (x1 - x0) * ((r + 0.5::DOUBLE) * {_CELL}::DOUBLE - y0) / (y1 - y0) + x0 AS x FROM er WHERE (y0 > (r + 0.5::DOUBLE) * {_CELL}::DOUBLE) <> (y1 > (r + 0.5::DOUBLE) * {_CELL}::DOUBLE)),
+ o AS (SELECT kind, k, r, x, row_number() OVER (PARTITION BY kind, k, r ORDER BY x) AS n, lead(x) OVER (PARTITION BY kind, k, r ORDER BY x) AS nx FROM x),
+ cell AS (SELECT DISTINCT kind, k, r, unnest(range(CAST(ceil(x / {_CELL}::DOUBLE - 0.5) AS BIGINT), CAST(ceil(nx / {_CELL}::DOUBLE - 0.5) AS BIGINT))) AS c FROM o WHERE n % 2 = 1),
+ size AS (SELECT kind, k, count(*) AS n FROM cell GROUP BY ALL), s AS (SELECT a.k AS candidate, b.k AS review, count(*) AS n FROM cell a JOIN cell b ON a.kind = 'c' AND b.kind = 'r' AND a.r = b.r AND a.c = b.c GROUP BY ALL),
+ q AS (SELECT candidate, review, s.n / (a.n + b.n - s.n) AS iou FROM s JOIN size a ON a.kind = 'c' AND a.k = candidate JOIN size b ON b.kind = 'r' AND b.k = review)
+SELECT candidate, review, "reviewId", iou FROM q JOIN (SELECT DISTINCT rev_key, "reviewId" FROM reviews) ON rev_key = review WHERE iou >= 0.3 QUALIFY row_number() OVER (PARTITION BY candidate ORDER BY iou DESC, review DESC) = 1""")
+def relink_outlines(spark, d):
+    """[J8, X15] each candidate's review of highest IoU, at least 0.3, later reviews (by rev_key) winning ties. Outlines in
+    pixels are placed around the candidate's position."""
+    cells = lambda df, key, shape: df.select(key, F.explode(G.cells_of(shape, _CELL)).alias("_k")).select(key, "_k.*").distinct()
+    c = spark.read.parquet(f"{d}/candidates.parquet").select(F.col("cand_key").alias("candidate"), "ringsPx", "lon", "lat").distinct()
+    r = spark.read.parquet(f"{d}/reviews.parquet").where("reviewId IS NOT NULL").select(F.col("rev_key").alias("review"), "reviewId", "geometry")
+    reviewed = cells(r, "review", G.geojson_polygons(F.col("geometry"))).withColumn("ord", F.col("review"))
+    links = records.relink(cells(c, "candidate", G.placed_outlines(F.col("ringsPx"), F.col("lon"), F.col("lat"))), reviewed)
+    return links.join(r.select("review", "reviewId"), "review").select("candidate", "review", "reviewId", "iou")
+
+
 @query('SELECT cand_key, "reviewId" FROM candidates WHERE "reviewId" IS NOT NULL AND "reviewId" NOT IN (SELECT "reviewId" FROM reviews WHERE "reviewId" IS NOT NULL)')
 def dangling_reviews(spark, d):
     """[J10, J13, D1, D8] candidates that name a review that isn't there"""
