@@ -25,6 +25,10 @@ ANALYSIS_TABLES = {
     "comparison": ["comparisons/*"],
     "side": ["comparisons/*/before", "comparisons/*/after"],
     "scene": ["comparisons/*/before/sceneIds/*", "comparisons/*/after/sceneIds/*"],
+    "year": ["comparisons/*/before/years/*", "comparisons/*/after/years/*"],
+    "month": ["comparisons/*/before/months/*", "comparisons/*/after/months/*"],
+    "platform": ["comparisons/*/before/platforms/*", "comparisons/*/after/platforms/*"],
+    "scene_date": ["comparisons/*/before/sceneDates/*", "comparisons/*/after/sceneDates/*"],
     "footprint": ["footprint"],
     "forest_loss": ["forest/box", "forest/footprint"],
     "loss_year": ["forest/box/lossByYear/*", "forest/footprint/lossByYear/*"],
@@ -284,6 +288,23 @@ def child_rows_of_columns(df: DataFrame, key: str, tables: dict[str, list[str]]
     return df.select(F.col(key), F.explode(_joined(parts)).alias("_row")).select(key, "_row.*")
 
 
+def scalar_columns(schema: StructType, child: str, tables: dict[str, list[str]] = ANALYSIS_TABLES) -> dict[str, str]:
+    """Name and type of every scalar field of a table's rows, in the schema's order; "" for a row that is a scalar itself."""
+    pattern, owned = tables[child][0], {p for ps in tables.values() for p in ps}
+
+    def walk(t: DataType, at: str, name: str) -> dict[str, str]:
+        if name and at in owned or isinstance(t, (ArrayType, MapType)):
+            return {}
+        if isinstance(t, StructType):
+            return {k: v for f in t for k, v in walk(f.dataType, f"{at}/{f.name}", f"{name}/{f.name}" if name else f.name).items()}
+        return {name: t.simpleString()}
+
+    kind: DataType = schema
+    for part in pattern.split("/"):
+        kind = kind[part].dataType if isinstance(kind, StructType) else kind.elementType if isinstance(kind, ArrayType) else kind.valueType
+    return walk(kind, pattern, "")
+
+
 def flat_table(rows: DataFrame, key: str, child: str, columns: dict[str, str]) -> DataFrame:
     """One flat table out of child rows: key, path, parent, ordinal, label and the named fields cast to their types.
     Text that doesn't fit its type becomes null."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landchange.operators.nested import ANALYSIS_TABLES, child_rows, child_rows_of_columns, flat_table
+from landchange.operators.nested import ANALYSIS_TABLES, child_rows, child_rows_of_columns, flat_table, scalar_columns
 from landchange.operators.spatial import close_pairs, points_in_regions
 from landchange.types import analysis_schema
 
@@ -24,31 +24,49 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return _analysis_rows(spark, d, CHILDREN, fields=False).select("rec_id", "child", "path")
 
 
+def _analysis_table(spark: SparkSession, d: str, child: str, *others: str) -> DataFrame:
+    """One flat table with all scalar fields; others: the tables above it and those that own fields below it."""
+    return flat_table(_analysis_rows(spark, d, [child, *others]), "rec_id", child, scalar_columns(analysis_schema(), child))
+
+
 def p1_comparisons(spark: SparkSession, d: str) -> DataFrame:
-    rows = _analysis_rows(spark, d, ["comparison", "side"])
-    columns = {"id": "string", "title": "string", "sensor": "string", "nativeResolutionM": "int", "change/vegetationToBareHa": "double", "change/insideFootprintHa": "double", "water/landToWaterHa": "double"}
-    return flat_table(rows, "rec_id", "comparison", columns)
+    return _analysis_table(spark, d, "comparison", "side")
 
 
 def p1_sides(spark: SparkSession, d: str) -> DataFrame:
-    return flat_table(_analysis_rows(spark, d, ["comparison", "side", "scene"]), "rec_id", "side", {"platformLabel": "string", "sceneCount": "int", "clearFraction": "double", "image": "string"})
+    return _analysis_table(spark, d, "side", "comparison", "scene", "year", "month", "platform", "scene_date")
 
 
 def p1_scenes(spark: SparkSession, d: str) -> DataFrame:
-    return flat_table(_analysis_rows(spark, d, ["side", "scene"]), "rec_id", "scene", {"": "string"})
+    return _analysis_table(spark, d, "scene", "side")
+
+
+def p1_years(spark: SparkSession, d: str) -> DataFrame:
+    return _analysis_table(spark, d, "year", "side")
+
+
+def p1_months(spark: SparkSession, d: str) -> DataFrame:
+    return _analysis_table(spark, d, "month", "side")
+
+
+def p1_platforms(spark: SparkSession, d: str) -> DataFrame:
+    return _analysis_table(spark, d, "platform", "side")
+
+
+def p1_scene_dates(spark: SparkSession, d: str) -> DataFrame:
+    return _analysis_table(spark, d, "scene_date", "side")
 
 
 def p1_protected_areas(spark: SparkSession, d: str) -> DataFrame:
-    columns = {"id": "string", "name": "string", "bufferKm": "double", "footprintDistanceKm": "double", "footprintInsideHa": "double", "footprintInBufferHa": "double"}
-    return flat_table(_analysis_rows(spark, d, ["protected_area", "area_change"]), "rec_id", "protected_area", columns)
+    return _analysis_table(spark, d, "protected_area", "area_change")
 
 
 def p1_area_changes(spark: SparkSession, d: str) -> DataFrame:
-    return flat_table(_analysis_rows(spark, d, ["protected_area", "area_change"]), "rec_id", "area_change", {"insideHa": "double", "bufferHa": "double"})
+    return _analysis_table(spark, d, "area_change", "protected_area")
 
 
 def p1_footprints(spark: SparkSession, d: str) -> DataFrame:
-    return flat_table(_analysis_rows(spark, d, ["footprint"]), "rec_id", "footprint", {"source": "string", "polygons": "int", "areaHa": "double", "geojson": "string"})
+    return _analysis_table(spark, d, "footprint")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -61,7 +79,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_comparisons, p1_sides, p1_scenes, p1_protected_areas, p1_area_changes, p1_footprints, p2_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_comparisons, p1_sides, p1_scenes, p1_years, p1_months, p1_platforms, p1_scene_dates, p1_protected_areas, p1_area_changes, p1_footprints, p2_found)}
 
 #: Brute-force SQL where it is quick on whole tables.
 _TEXT = "CASE WHEN json_type({0}) = 'VARCHAR' AND json_valid({0} ->> '$') THEN CAST({0} ->> '$' AS JSON) ELSE {0} END"
