@@ -21,7 +21,11 @@ def _analysis_rows(spark: SparkSession, d: str, tables: list[str], fields: bool
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return _analysis_rows(spark, d, CHILDREN, fields=False).select("rec_id", "child", "path")
+    """Both tables through the triple stream; nested columns enter it as JSON, nulls kept so that no record is unwrapped."""
+    take, body = {t: ANALYSIS_TABLES[t] for t in CHILDREN}, F.struct("comparisons", "footprint", "protectedAreas")
+    typed = spark.read.parquet(f"{d}/analysis.parquet").select("rec_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("body"))
+    raw = spark.read.parquet(f"{d}/analysis_raw.parquet").select("rec_id", "body")
+    return child_rows(typed.unionByName(raw), "rec_id", "body", analysis_schema(), take, fields=False)
 
 
 def _analysis_table(spark: SparkSession, d: str, child: str, *others: str) -> DataFrame:

@@ -47,3 +47,8 @@ def test_no_value_is_lost(spark, data, name):
 def test_columns_follow_the_schema():
     counts = {child: len(scalar_columns(analysis_schema(), child)) for child in ("comparison", "side", "footprint", "protected_area", "area_change", "scene")}
     assert counts == {"comparison": 18, "side": 6, "footprint": 7, "protected_area": 12, "area_change": 2, "scene": 1}
+
+
+def test_found_takes_the_triple_stream(spark, data):
+    plan = problems.p1_found(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Generate" not in plan
