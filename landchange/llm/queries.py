@@ -76,7 +76,9 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_report(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mix_report(_sizes(spark, d), _table(spark, d, "mix_targets"))
+    from landchange.session import stage
+
+    return mixing.drawn_report(stage(_sizes(spark, d), "sizes"), "doc_id", _table(spark, d, "mix_targets"))
 
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
