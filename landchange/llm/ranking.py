@@ -18,7 +18,7 @@ def percentiles(long: DataFrame, by: list[str], value: str, out: str = "percenti
 
     Rows are pre-aggregated to distinct values before any order is made, so ties and large groups cost nothing more.
     """
-    valid = F.col(value).isNotNull() & ~F.isnan(value)
+    valid = F.col(value).isNotNull() & ~F.coalesce(F.isnan(value), F.lit(False))
     counts = long.where(valid).groupBy(*by, value).agg(F.count("*").alias("_n"))
     totals = counts.groupBy(*by).agg(F.sum("_n").alias("_all"))
     ranked = running_sum(counts, by, [F.col(value)], F.col("_n"), "_below")
@@ -27,7 +27,9 @@ def percentiles(long: DataFrame, by: list[str], value: str, out: str = "percenti
     match = F.col("_t_value") == F.col(value)
     for c in by:
         match &= F.col(f"_t_{c}").eqNullSafe(F.col(c))
-    return long.join(table, match, "left").select(*long.columns, F.coalesce(out, F.lit(0.0)).alias(out))
+    # rows without a score, however many, meet nothing and don't move
+    found = long.where(valid).join(table, match).select(*long.columns, out)
+    return found.unionByName(long.where(~valid).select(*long.columns, F.lit(0.0).alias(out)))
 
 
 def leximin_rank(df: DataFrame, key: str, scores: list[str], within: list[str] = []) -> DataFrame:

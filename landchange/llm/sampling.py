@@ -12,10 +12,31 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-#: Hash buckets per sample and signature that narrow down where a draw ends.
+from landchange.session import stage
+
+#: Hash buckets per sample and signature that narrow down, twice over, where a draw ends.
 DRAW_BUCKETS = 4096
-#: Targets up to which the plan of a draw is sent to all executors.
-MAX_TARGETS = 100_000
+#: Targets up to which the plan of a draw is sent to all executors; above, rows meet it by key and one of SALTS salts.
+MAX_TARGETS, SALTS = 100_000, 64
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of n records, drawn at random from good + bad, are good; exact for any counts.
+
+    Beyond the generator's own range every record is first drawn on its own with probability n / (good + bad), and the
+    shortfall or surplus, some sqrt(n) records, is drawn or taken back at random in the same way."""
+    if good + bad < 1_000_000_000:
+        return int(rng.hypergeometric(good, bad, n)) if n else 0
+    if n <= 1000:
+        hits = 0
+        for i in range(n):
+            hits += int(rng.integers(good + bad - i)) < good - hits
+        return hits
+    p = n / (good + bad)
+    a, b = int(rng.binomial(good, p)), int(rng.binomial(bad, p))
+    if a + b > n:
+        return a - hypergeometric(rng, a, b, a + b - n)
+    return a + hypergeometric(rng, good - a, bad - b, n - a - b)
 
 
 def swap_repair(available: np.ndarray, floor: np.ndarray, share: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
@@ -32,8 +53,7 @@ def swap_repair(available: np.ndarray, floor: np.ndarray, share: np.ndarray, siz
     if more > 0 and left.sum() > 0:  # the random start: the rest of the sample is drawn blindly
         rest, remaining = more, int(left.sum())
         for i in range(len(left)):
-            take = int(round(rest * left[i] / remaining)) if remaining > 1_000_000_000 else int(rng.hypergeometric(left[i], remaining - left[i], rest)) if rest else 0
-            take = int(min(max(take, rest - (remaining - left[i])), left[i], rest))
+            take = hypergeometric(rng, int(left[i]), remaining - int(left[i]), rest)
             counts[i] += take
             rest, remaining = rest - take, remaining - int(left[i])
             if remaining <= 0:
@@ -98,21 +118,47 @@ def sample_report(rows: DataFrame, targets: DataFrame, group: str, category: str
 def draw(rows: DataFrame, keys: list[str], targets: DataFrame, group: str, category: str, seed: int = 0) -> DataFrame:
     """The samples themselves: (sample_id, *keys, category), each category's drawn count of records at random.
 
-    A record's place in a sample is its hash. Counts per hash bucket tell in which bucket a category's draw ends; buckets
-    below are taken whole, and only that bucket is put in order, so the draw is exact and repeatable at every size.
+    A record's place in a sample is its hash. Counts per hash bucket tell in which bucket a category's draw ends, counts of
+    that bucket's parts in which part; what lies below is taken whole, and only that part, one of DRAW_BUCKETS squared, is put
+    in order, so the draw is exact and repeatable at every size. Equal keys must not repeat (`usable_rows` sees to it).
     """
     report = sample_report(rows, targets, group, category, seed).select("sample_id", "category", "drawn")
     scopes = targets.where(F.col("sample_id").isNotNull()).select("sample_id", F.col(group).alias("_group"), F.col(category).cast("int").alias("category")).distinct()
     plan = scopes.join(report, ["sample_id", "category"]).where("drawn > 0")  # as many rows as targets
-    if targets.count() <= MAX_TARGETS:
-        plan = F.broadcast(plan)
-    match = (F.col("category") == F.col(f"_row.{category}")) & (F.col("_group").isNull() | (F.col("_group") == F.col(f"_row.{group}")))
-    mark: Column = F.xxhash64(F.lit(seed), F.col("sample_id"), *(F.col(f"_row.{k}") for k in keys))
-    member = rows.select(F.struct("*").alias("_row")).join(plan, match).withColumn("_mark", mark).withColumn("_bucket", F.pmod("_mark", F.lit(DRAW_BUCKETS)))
-    filled = member.groupBy("sample_id", "category", "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("sample_id", "category").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    limits = filled.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    # as many rows as targets x DRAW_BUCKETS
-    placed = member.join(limits, ["sample_id", "category", "_bucket"]).withColumn("_left", F.col("drawn") - F.col("_before")).where("_left > 0")
-    order = Window.partitionBy("sample_id", "category", "_bucket").orderBy("_mark", *(F.col(f"_row.{k}") for k in keys))
-    return placed.withColumn("_at", F.row_number().over(order)).where("_at <= _left").select("sample_id", *(F.col(f"_row.{k}").alias(k) for k in keys), "category")
+    member = stage(_members(rows, keys, plan, targets.count() <= MAX_TARGETS, group, category, seed), "members")
+    target = ["sample_id", "category"]
+    first = _ends(member, target, "_b1", F.col("drawn"))
+    whole = member.join(F.broadcast(first) if targets.count() <= MAX_TARGETS else first, target)
+    edge = stage(whole.where("_b1 = _end").drop("drawn", "_end").withColumnRenamed("_left", "drawn"), "edge")
+    second = _ends(edge, target, "_b2", F.col("drawn"))
+    parts = edge.join(second, target)
+    order = Window.partitionBy(*target, "_b2").orderBy("_mark", *keys)
+    last = parts.where("_b2 = _end").withColumn("_at", F.row_number().over(order)).where("_at <= _left")
+    out = ["sample_id", *keys, "category"]
+    return whole.where("_b1 < _end").select(out).unionByName(parts.where("_b2 < _end").select(out)).unionByName(last.select(out))
+
+
+def _members(rows: DataFrame, keys: list[str], plan: DataFrame, small: bool, group: str, category: str, seed: int) -> DataFrame:
+    """Each record of each sample it may be drawn for: (sample_id, category, drawn, *keys, _mark, _b1, _b2)."""
+    held = [k for k in keys if k != group]
+    plain = rows.select(F.col(group).alias("_g"), F.col(category).alias("_c"), *(F.col(k).alias(f"_k_{k}") for k in held))
+    match = F.col("category") == F.col("_c")
+    if small:
+        joined = plain.join(F.broadcast(plan), match & (F.col("_group").isNull() | (F.col("_group") == F.col("_g"))))
+    else:  # hot categories and groups are spread by a salt
+        salted = plain.withColumn("_salt", F.pmod(F.xxhash64(*plain.columns), F.lit(SALTS)).cast("int"))
+        wide = plan.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        match &= F.col("_salt") == F.col("_s")
+        joined = salted.join(wide.where("_group IS NULL"), match).unionByName(salted.join(wide.where("_group IS NOT NULL"), match & (F.col("_group") == F.col("_g"))))
+    named = joined.select("sample_id", "category", "drawn", *(F.col("_g" if k == group else f"_k_{k}").alias(k) for k in keys))
+    mark = F.xxhash64(F.lit(seed), "sample_id", *keys)
+    bucket = lambda shift: F.shiftrightunsigned(F.col("_mark"), shift).bitwiseAND(DRAW_BUCKETS - 1)
+    return named.withColumn("_mark", mark).withColumn("_b1", bucket(52)).withColumn("_b2", bucket(40))
+
+
+def _ends(rows: DataFrame, target: list[str], bucket: str, wanted: Column) -> DataFrame:
+    """(target, _end, _left): the bucket in which the draw ends and how many of its rows it takes."""
+    filled = rows.groupBy(*target, bucket).agg(F.count("*").alias("_n"), F.first("drawn").alias("drawn"))  # at most targets x DRAW_BUCKETS rows
+    upto = Window.partitionBy(*target).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    placed = filled.withColumn("_upto", F.sum("_n").over(upto)).where(F.col("_upto") >= wanted)
+    return placed.groupBy(*target).agg(F.min_by(F.struct(F.col(bucket).alias("_end"), (wanted - F.col("_upto") + F.col("_n")).alias("_left")), bucket).alias("_e")).select(*target, "_e.*")

@@ -57,6 +57,31 @@ def test_swap_repair(seed):
                 assert miss(other) >= miss(counts) - 1e-6
 
 
+def test_hypergeometric_beyond_the_generators_range():
+    rng = np.random.default_rng(1)
+    for good, bad, n in ((3 * 10**9, 5 * 10**9, 10**9), (10**12, 10**10, 7 * 10**11), (10**9, 10**9, 500), (0, 10**10, 10**6), (10**10, 0, 10**6)):
+        got = np.array([P.hypergeometric(rng, good, bad, n) for _ in range(40)])
+        p = good / (good + bad)
+        sd = math.sqrt(n * p * (1 - p) * (good + bad - n) / (good + bad - 1))
+        assert (got >= 0).all() and (got <= min(good, n)).all() and abs(got.mean() - n * p) <= 4 * sd / math.sqrt(40) + 1e-9
+        assert sd == 0 or 0.5 * sd < got.std() < 1.6 * sd
+
+
+@pytest.mark.parametrize("most,buckets", [(0, 4096), (100_000, 2)])
+def test_draw_is_exact_with_salts_and_with_few_buckets(spark, monkeypatch, most, buckets):
+    monkeypatch.setattr(P, "MAX_TARGETS", most)
+    monkeypatch.setattr(P, "DRAW_BUCKETS", buckets)
+    rows = spark.range(900).select(F.when(F.col("id") < 600, "r").otherwise("s").alias("region"), "id", (F.col("id") % 3).cast("int").alias("y"))
+    targets = spark.createDataFrame([(s, g, y, sh, 5, 0.4) for s, g in (("all", None), ("r", "r"), ("none", "x")) for y, sh in ((0, 0.6), (1, 0.3), (2, 0.1))], "sample_id STRING, region STRING, y INT, target_share DOUBLE, min_rows INT, sample_share DOUBLE")
+    report = {(r.sample_id, r.category): r.drawn for r in P.sample_report(rows, targets, "region", "y").collect() if r.drawn}
+    drawn = P.draw(rows, ["region", "id"], targets, "region", "y").collect()
+    counts = {}
+    for r in drawn:
+        counts[r.sample_id, r.category] = counts.get((r.sample_id, r.category), 0) + 1
+        assert r.id % 3 == r.category and (r.sample_id == "all" or r.region == r.sample_id)
+    assert counts == report and len(set(drawn)) == len(drawn)
+
+
 def test_sample_of_odd_rows(spark):
     rows = [("r", i, 0) for i in range(50)] + [("s", i, 1) for i in range(3)] + [("r", 1, 0)] * 3 + [("r", 90, None), ("r", 91, 9), (None, 1, 1)]
     df = spark.createDataFrame(rows, "region STRING, id BIGINT, y INT").withColumn("sample_id", F.lit("clash"))
@@ -105,16 +130,60 @@ def test_same_ground(spark):
     assert pairs == {("abc 1", "Ábc-1"), ("abc 1", "near"), ("near", "Ábc-1"), ("east", "west")}
 
 
-def test_deal(spark, monkeypatch):
-    groups = spark.createDataFrame([(f"g{i}", 1 + i % 5) for i in range(400)] + [("hot", 300), ("none", None)], "k STRING, n BIGINT")
-    for bundles in (10_000, 20):
-        monkeypatch.setattr(S, "BUNDLES", bundles)
-        got = S.deal(groups, "k", "n", {"train": 0.8, "test": 0.2}).join(groups, "k").groupBy("split").agg(F.sum("n").alias("n"), F.count("*").alias("k"))
-        rows = {r.split: r.n for r in got.collect()}
-        assert sum(rows.values()) == 1500 and abs(rows["test"] / 1500 - 0.2) < 0.05
+def one_by_one(sizes, goal):
+    gaps, held = list(goal), [0] * len(goal)
+    for n in sorted(sizes, reverse=True):
+        to = max(range(len(gaps)), key=lambda j: gaps[j])
+        gaps[to] -= n
+        held[to] += 1
+    return held, gaps
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_a_class_is_dealt_as_one_by_one(seed):
+    rng = np.random.default_rng(seed)
+    gaps, size, count = rng.uniform(-50, 200, rng.integers(1, 6)), int(rng.integers(1, 20)), int(rng.integers(0, 60))
+    assert S.deal_class(gaps, size, count).tolist() == one_by_one([size] * count, gaps)[0]
+    assert S.deal_class(gaps, 10, 10**12).sum() == 10**12 and S.deal_class(gaps, 0, 5).max() == 5
+
+
+def test_deal(spark):
+    sizes = [1 + i % 5 for i in range(400)] + [300, 0]
+    groups = spark.createDataFrame([(f"g{i}", n or None) for i, n in enumerate(sizes)] + [(None, 7)], "k STRING, n BIGINT")
+    rows = S.deal(groups, "k", "n", {"train": 0.8, "test": 0.2}).join(groups, "k").groupBy("split").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()
+    counts, gaps = one_by_one(sizes, [1200, 300])
+    assert {r.split: (r.k, r.n) for r in rows} == {"train": (counts[0], 1200 - gaps[0]), "test": (counts[1], 300 - gaps[1])}
     assert S.deal(groups.limit(0), "k", "n", {"a": 1.0}).count() == 0
 
 
+@pytest.mark.parametrize("parts", ["1", "4", "64", "200"])
+def test_partitions_without_links(spark, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        df = spark.createDataFrame([("b", "a"), ("b", "c")], "a STRING, b STRING")
+        assert {(r.node, r.root) for r in S.components(df).collect()} == {("a", "a"), ("b", "a"), ("c", "a")}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_same_ground_equals_all_pairs(spark):
+    rnd = random.Random(5)
+    rows = [(f"n{i:03}", rnd.choice([rnd.uniform(-1, 1), rnd.uniform(179, 180), rnd.uniform(-180, -179)]), rnd.choice([rnd.uniform(-1, 1), rnd.uniform(88, 89.9), 60.0]), rnd.choice([0.5, 3.0, 40.0, 200.0]) * rnd.uniform(0.5, 1.5)) for i in range(250)]
+    rows += [(f"m{i:03}", 50 + i * 1e-4, 10.0, 5.0) for i in range(60)]  # a crowd of boxes that all overlap
+    links = [(a[0], a[0]) for a in rows]
+    for i, a in enumerate(rows):
+        for b in rows[:i]:
+            w = [min(180, r[3] / 2 / 111.195 / math.cos(math.radians(r[2]))) for r in (a, b)]
+            apart = abs(a[1] - b[1])
+            if min(apart, 360 - apart) < sum(w) and abs(a[2] - b[2]) < (a[3] + b[3]) / 2 / 111.195:
+                links.append((a[0], b[0]))
+    df = spark.createDataFrame(rows, "name STRING, x DOUBLE, y DOUBLE, s DOUBLE")
+    ground = S.same_ground(df, "name", "x", "y", "s")
+    assert {r.node: r.root for r in S.components(ground).collect()} == union_find(links)
+    assert ground.count() < 2 * len(links)
+
+
 # ---- dedup
 
 def square(x, y, w, h=None):
