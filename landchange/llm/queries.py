@@ -119,6 +119,33 @@ s AS (SELECT t.sample_id, t.y, t.min_rows, t.sample_share, t.target_share,
   (SELECT count(*) FROM u WHERE (t.region IS NULL OR u.region = t.region)) usable,
   (SELECT count(*) FROM u WHERE (t.region IS NULL OR u.region = t.region) AND u.y = t.y) available FROM sample_targets t)
 SELECT sample_id, CAST(y AS INTEGER) AS y FROM s WHERE available < greatest(min_rows, sample_share * target_share * usable)""",
+    "p6_found": r"""
+WITH RECURSIVE u AS (SELECT DISTINCT rev_key, batch, year, "reviewId" AS rid, geometry AS g FROM reviews WHERE rev_key IS NOT NULL AND batch IS NOT NULL),
+n AS (SELECT rev_key AS k, year, row_number() OVER (ORDER BY batch, rev_key) AS pos, nullif(regexp_replace(regexp_replace(lower(rid), '^\s*urn:uuid:', ''), '[^\p{L}\p{N}]', '', 'g'), '') AS id,
+ CASE WHEN json_valid(g) THEN CAST(g AS JSON) END AS j FROM u),
+o AS (SELECT k, CASE WHEN json_extract_string(j, '$.type') = 'Feature' THEN json_extract(j, '$.geometry') WHEN json_extract_string(j, '$.type') = 'FeatureCollection' THEN json_extract(j, '$.features[0].geometry')
+ WHEN json_extract_string(j, '$.type') = 'GeometryCollection' THEN json_extract(j, '$.geometries[0]') ELSE j END AS j FROM n WHERE year IS NOT NULL AND j IS NOT NULL),
+p AS (SELECT k, CAST(json_extract(j, '$.coordinates') AS DOUBLE[][][]) AS rings FROM o WHERE json_extract_string(j, '$.type') = 'Polygon' UNION ALL
+ SELECT k, CAST(unnest(CAST(json_extract(j, '$.coordinates') AS JSON[])) AS DOUBLE[][][]) FROM o WHERE json_extract_string(j, '$.type') = 'MultiPolygon'),
+r AS (SELECT k, unnest(rings) AS ring FROM p), s AS (SELECT k, ring, unnest(range(1, len(ring) + 1)) AS i FROM r),
+e0 AS (SELECT k, ring[i][1] AS xa, ring[i][2] AS ya, ring[i % len(ring) + 1][1] AS xb, ring[i % len(ring) + 1][2] AS yb FROM s),
+e AS (SELECT k, least(xa, xb) AS x0, CASE WHEN xa < xb THEN ya ELSE yb END AS y0, greatest(xa, xb) AS x1, CASE WHEN xa < xb THEN yb ELSE ya END AS y1 FROM e0 WHERE xa <> xb),
+b AS (SELECT k, any_value(year) AS year, any_value(pos) AS pos, min(x0) AS x0, min(least(y0, y1)) AS y0, max(x1) AS x1, max(greatest(y0, y1)) AS y1 FROM e JOIN n USING (k) GROUP BY k),
+c AS (SELECT p.k AS a, q.k AS b FROM b p JOIN b q ON p.year = q.year AND p.pos < q.pos AND p.x0 < q.x1 AND q.x0 < p.x1 AND p.y0 < q.y1 AND q.y0 < p.y1),
+pe AS (SELECT a, b, 1 AS w, e.* EXCLUDE k FROM c JOIN e ON k = a UNION ALL SELECT a, b, 2, e.* EXCLUDE k FROM c JOIN e ON k = b),
+x AS (SELECT a, b, x0 AS x FROM pe UNION SELECT a, b, x1 FROM pe UNION
+ SELECT a, b, x FROM (SELECT p.a, p.b, ((q.y0 - (q.y1 - q.y0) / (q.x1 - q.x0) * (q.x0 - p.x0)) - p.y0) / nullif((p.y1 - p.y0) / (p.x1 - p.x0) - (q.y1 - q.y0) / (q.x1 - q.x0), 0) + p.x0 AS x, greatest(p.x0, q.x0) AS lo, least(p.x1, q.x1) AS hi
+  FROM pe p JOIN pe q ON p.a = q.a AND p.b = q.b AND p.x0 < q.x1 AND q.x0 < p.x1) WHERE x > lo AND x < hi),
+sl AS (SELECT a, b, x AS l, lead(x) OVER (PARTITION BY a, b ORDER BY x) AS h FROM x),
+y AS (SELECT sl.a, sl.b, l, h, w, y0 + (y1 - y0) * ((l + h) / 2 - x0) / (x1 - x0) AS y FROM sl JOIN pe ON pe.a = sl.a AND pe.b = sl.b AND x0 <= l AND x1 >= h),
+iv AS (SELECT a, b, l, h, w, y AS lo, lead(y) OVER v AS hi, row_number() OVER v AS nr FROM y WINDOW v AS (PARTITION BY a, b, l, w ORDER BY y)), i AS (SELECT * FROM iv WHERE nr % 2 = 1),
+ar AS (SELECT a, b, sum((h - l) * (hi - lo)) AS total FROM i GROUP BY a, b),
+co AS (SELECT p.a, p.b, sum((p.h - p.l) * greatest(0, least(p.hi, q.hi) - greatest(p.lo, q.lo))) AS shared FROM i p JOIN i q ON p.a = q.a AND p.b = q.b AND p.l = q.l AND p.w = 1 AND q.w = 2 GROUP BY p.a, p.b),
+t AS (SELECT a, b FROM co JOIN ar USING (a, b) WHERE shared >= 0.7 * (total - shared) UNION SELECT p.k, q.k FROM n p JOIN n q ON p.id = q.id AND p.pos < q.pos),
+nb AS (SELECT q.pos, any_value(q.k) AS k, coalesce(list(t.a) FILTER (WHERE t.a IS NOT NULL), []) AS own FROM n q LEFT JOIN t ON q.k = t.b GROUP BY q.pos),
+go AS (SELECT 0::BIGINT AS pos, []::BIGINT[] AS acc, NULL::BIGINT AS a, NULL::BIGINT AS b UNION ALL
+ SELECT nb.pos, CASE WHEN len(list_intersect(own, acc)) = 0 THEN list_append(acc, nb.k) ELSE acc END, list_min(list_intersect(own, acc)), nb.k FROM go JOIN nb ON nb.pos = go.pos + 1)
+SELECT a AS rev_key_a, b AS rev_key_b FROM go WHERE a IS NOT NULL""",
     "p5_found": """
 WITH RECURSIVE e AS (SELECT name, lon, lat, box_km / 2 / 111.195 h, box_km / 2 / (111.195 * cos(radians(lat))) w,
   regexp_replace(strip_accents(lower(name)), '[^a-z0-9]', '', 'g') p FROM ml_regions),

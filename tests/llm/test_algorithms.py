@@ -224,7 +224,10 @@ def sequential(rows):
     return out
 
 
-def test_batches_equal_one_by_one(spark):
+@pytest.mark.parametrize("cell,local", [(64, 200_000), (2, 200_000), (3, 0)])
+def test_batches_equal_one_by_one(spark, monkeypatch, cell, local):
+    monkeypatch.setattr(D, "FIRST_OF_CELL", cell)
+    monkeypatch.setattr(D, "LOCAL_ROWS", local)
     rnd = random.Random(4)
     ids = ["ab-1", "AB1", "{ab-1}", "urn:uuid:ab-1", "zz", "-", "", None] + [f"id{i}" for i in range(30)]
     shapes = [None, "{", '{"type":"Point","coordinates":[1,2]}', square(5, 5, 0)]
@@ -238,6 +241,38 @@ def test_batches_equal_one_by_one(spark):
     assert D.repeats_by_batch(df.limit(0)).count() == 0
 
 
+def test_cells_hold_every_part():
+    sliver = json.dumps({"type": "Polygon", "coordinates": [[[0, 0], [1, 1], [1.0000001, 1], [0.0000001, 0], [0, 0]]]})
+    for text in (sliver, square(0.3, 0.3, 0.01, 5), square(-7, 3, 2), json.dumps({"type": "MultiPolygon", "coordinates": [[[[0, 0], [1, 0], [1, 1], [0, 0]]], [[[900, 900], [901, 900], [901, 901], [900, 900]]]]})):
+        e = D.all_edges(text)
+        area = D.areas(D.bounding_edges(e), np.zeros((0, 4)))[0]
+        for level in D.levels_of(np.array([area])):
+            _, cx, cy = D.cells_met(e, np.zeros(len(e), np.int64), level)
+            side = 2.0 ** level[0]
+            held = sum(D.areas(D.bounding_edges(e), D.outline_edges(square(x * side, y * side, side)))[2] for x, y in zip(cx, cy))
+            length = np.hypot(e[:, 2] - e[:, 0], e[:, 3] - e[:, 1]).sum()
+            assert held == pytest.approx(area, rel=1e-6) and len(cx) <= 3 * length / side + 4 * len(e)
+
+
+def test_history_is_opened_with_its_own_buckets(spark, tmp_path):
+    rows = [(i, 0, f"id{i}", 2020, square(i, 0, 0.5)) for i in range(60)] + [(100 + i, 1, f"ID-{i}", 2020, None) for i in range(60)] + [(200 + i, 2, None, 2020, square(i + 0.001, 0, 0.5)) for i in range(60)]
+    read = D.read_reviews(spark.createDataFrame(rows, "rev_key BIGINT, batch INT, reviewId STRING, year INT, geometry STRING"))
+    first = D.History(spark, str(tmp_path / "h"), buckets=8)
+    assert first.check(read.where("batch = 0")).count() == 0
+    first.close()
+    with pytest.raises(ValueError):
+        D.History(spark, str(tmp_path / "h"), buckets=3)
+    with pytest.raises(ValueError):
+        D.History(spark, str(tmp_path / "h"), least=0.9)
+    again = D.History(spark, str(tmp_path / "h"))
+    assert again.buckets == 8 and {tuple(r) for r in again.check(read.where("batch = 1")).collect()} == {(i, 100 + i) for i in range(60)}
+    again.compact()
+    again.close()
+    later = D.History(spark, str(tmp_path / "h"))
+    assert later.version == 1 and {tuple(r) for r in later.check(read.where("batch = 2")).collect()} == {(i, 200 + i) for i in range(60)}
+    later.close()
+
+
 # ---- mixing
 
 def test_mix_of_odd_rows(spark):
