@@ -3,7 +3,8 @@
 Regions: a trapezoidal decomposition. Boundaries are cut into vertical strips of about equal edge counts (from quantiles of
 the edges), strips are distributed; inside a strip the edges' ends cut the plane into slabs in which a region's edges have one
 order, so a point is located by a binary search for its slab and one among the slab's edges. Points of a crowded strip are
-spread over several tasks, each with a copy of that strip's edges, whose number is bounded.
+spread over several tasks, each with a copy of that strip's edges: about as many begin there in every strip, and those that
+pass through come on top. A task holds the edges of as many slabs at once as SLAB_ENTRIES allows.
 
 Points: a grid of latitude bands whose cells are as wide as the distance, on a sphere, across poles and the date line. Each
 point looks into five cells, so that each pair is met once; the join's work follows the number of close pairs.
@@ -19,10 +20,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from landchange.functions.geojson import polygons
+from landchange.session import stage
 
 EARTH_R = 6371007.2
-#: Edges that a strip holds on average, points of a strip that one task takes, and the most strips.
-STRIP_EDGES, STRIP_POINTS, MAX_STRIPS = 5_000, 50_000, 100_000
+#: Edges that begin in a strip, on average, points of a strip that one task takes, the most strips, and entries of edges in slabs
+#: that a task holds at once.
+STRIP_EDGES, STRIP_POINTS, MAX_STRIPS, SLAB_ENTRIES = 5_000, 50_000, 100_000, 2_000_000
 
 
 def valid_position(lon: Column, lat: Column) -> Column:
@@ -111,14 +114,18 @@ def locate_in_slabs(px: np.ndarray, py: np.ndarray, edges: np.ndarray) -> np.nda
     hit = np.flatnonzero((slab >= 0) & (slab < len(xs) - 1))
     if not len(hit):
         return inside
-    # slabs that hold points get their edges; each (slab, edge) entry once
-    wanted = np.zeros(len(xs) - 1, bool)
-    wanted[slab[hit]] = True
-    first, last = np.searchsorted(xs, edges[:, 0]), np.searchsorted(xs, edges[:, 2])
+    # slabs that hold points get their edges; each (slab, edge) entry once, and no others are listed
+    wanted = np.unique(slab[hit])
+    first, last = np.searchsorted(wanted, np.searchsorted(xs, edges[:, 0])), np.searchsorted(wanted, np.searchsorted(xs, edges[:, 2]))
+    if (last - first).sum() > SLAB_ENTRIES and len(wanted) > 1:  # long edges in many slabs: the slabs in two parts
+        below = px < xs[wanted[len(wanted) // 2]]
+        for part in (np.flatnonzero(below), np.flatnonzero(~below)):
+            meet = (edges[:, 2] > px[part].min()) & (edges[:, 0] <= px[part].max()) if len(part) else np.zeros(len(edges), bool)
+            if meet.any():
+                inside[part] = locate_in_slabs(px[part], py[part], edges[meet])
+        return inside
     which = np.repeat(np.arange(len(edges)), last - first)
-    at = np.arange(len(which)) - np.repeat(np.cumsum(last - first) - (last - first), last - first) + np.repeat(first, last - first)
-    keep = wanted[at]
-    which, at = which[keep], at[keep]
+    at = wanted[np.arange(len(which)) - np.repeat(np.cumsum(last - first) - (last - first), last - first) + np.repeat(first, last - first)]
     e = edges[which]
     slope = (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
     y_at = lambda x: e[:, 1] + (x - e[:, 0]) * slope
@@ -157,7 +164,7 @@ def points_in_regions(points: DataFrame, key: str, lon: str, lat: str, regions:
     A point on a boundary counts as inside or outside, the same way for every run.
     """
     spark = points.sparkSession
-    edges = region_edges(regions, region_key, geometry).distinct()
+    edges = stage(region_edges(regions, region_key, geometry).distinct(), "edges")  # parsed once, read for counts, cuts and search
     # strips of about STRIP_EDGES edges; the cuts are at most MAX_STRIPS numbers
     strips = min(MAX_STRIPS, edges.count() // STRIP_EDGES + 1)
     cuts = np.unique(edges.approxQuantile("x0", [i / strips for i in range(1, strips)], 0.1 / strips)) if strips > 1 else np.array([])
@@ -192,7 +199,7 @@ def points_in_regions(points: DataFrame, key: str, lon: str, lat: str, regions:
             near = np.flatnonzero((x >= edge[:, 0].min()) & (x <= edge[:, 2].max()) & (y >= edge[:, [1, 3]].min()) & (y <= edge[:, [1, 3]].max()))
             if len(near):
                 out.append(pd.DataFrame({"k": keys[near[locate_in_slabs(x[near], y[near], edge)]], "region": region}))
-        return pd.concat(out) if out else pd.DataFrame({"k": [], "region": []})
+        return pd.concat(out) if out else pd.DataFrame({"k": [], "region": []}, dtype=object)  # any type can be made of it
 
     found = spread.groupBy("strip", "share").cogroup(copied.groupBy("s", "copy")).applyInPandas(search, f"k {point_kind}, region {region_kind}")
     return found.select(F.col("k").alias(key), "region").distinct()

@@ -28,10 +28,12 @@ def local_session(cores: int = 8, name: str = "landchange", **conf: str) -> Spar
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir. Only where that is unset (tests on one machine) a local
-    temporary folder takes its place, once for the session."""
+    """The folder all executors share: spark.checkpoint.dir. Only where that is unset and the session is local (tests) a
+    temporary folder of this machine takes its place, once for the session; on a cluster there must be a shared one."""
     set_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.landchange.dir", None)
     if not set_dir:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         set_dir = tempfile.mkdtemp(prefix="landchange-")
         spark.conf.set("spark.landchange.dir", set_dir)
     return set_dir.rstrip("/")

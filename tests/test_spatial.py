@@ -59,8 +59,9 @@ def random_star(rnd, cx, cy, n):
     return [*pts, pts[0]]
 
 
-@pytest.mark.parametrize("crossing", [False, True])
-def test_slabs_equal_even_odd(crossing):
+@pytest.mark.parametrize("crossing,entries", [(False, 2_000_000), (True, 2_000_000), (False, 7), (True, 7)])
+def test_slabs_equal_even_odd(monkeypatch, crossing, entries):
+    monkeypatch.setattr(S, "SLAB_ENTRIES", entries)
     rnd = random.Random(3)
     for _ in range(20):
         ring = random_star(rnd, 0, 0, 12) if not crossing else [(rnd.random(), rnd.random()) for _ in range(9)]
@@ -86,3 +87,24 @@ def test_points_in_regions(spark, monkeypatch):
     assert len(got) == len(set(got)) and set(got) == {(i, k) for i, x, y in points for k in outer if even_odd(x, y, [outer[k], hole[k]])}
     assert S.points_in_regions(df.limit(0), "k", "x", "y", regions, "a", "g").count() == 0
     assert S.points_in_regions(df, "k", "x", "y", regions.limit(0), "a", "g").count() == 0
+
+
+def test_text_keys_and_no_hits(spark):
+    square = json.dumps({"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]]})
+    points = spark.createDataFrame([("a", 0.5, 0.5), ("b", 5.0, 5.0)], "k STRING, x DOUBLE, y DOUBLE")
+    regions = spark.createDataFrame([("r", square), ("s", "no json"), (None, square)], "id STRING, g STRING")
+    within = lambda p: [tuple(r) for r in S.points_in_regions(p, "k", "x", "y", regions, "id", "g").collect()]
+    assert within(points) == [("a", "r")] and within(points.where("k = 'b'")) == []
+
+
+@pytest.mark.parametrize("parts", ["1", "64", "200"])
+def test_any_number_of_partitions(spark, data, parts):
+    from landchange.plans import problems
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    expected = problems.p2_found(spark, data).count()
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        assert problems.p2_found(spark, data).count() == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
