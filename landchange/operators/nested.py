@@ -1,22 +1,21 @@
 """Deeply nested records into related flat tables.
 
-A record is read as a stream of (path, ordinals, value) triples. A path belongs to the table of its closest repeated (or
-declared) ancestor; the triples of one such ancestor are neighbours in the stream, so pivoting them into a row needs no
-shuffle: every record becomes its child rows in one pass, each with its own path and its parent's path as keys.
-
-Two readers give the same rows: `child_rows` for records held as text (any damage, other layouts), and
-`child_rows_of_columns`, Catalyst expressions only, for records held as nested columns.
+A record's text is parsed as a stream: fields go straight into (path, ordinals, value) triples as they are met, and no tree of
+the record is built. A path belongs to the table of its closest repeated (or declared) ancestor; the triples of one such
+ancestor are neighbours in the stream, so pivoting them into a row needs no shuffle: every record becomes its child rows in one
+pass, each with its own path and its parent's path as keys. Records held as nested columns enter as JSON text.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from json.decoder import scanstring
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 #: Tables of an analysis record: path patterns, * for a list place or map key. "" is the record itself.
@@ -43,79 +42,199 @@ def _no_constant(name: str) -> Any:
     raise ValueError(f"{name} is not JSON")
 
 
-def parse_body(text: str | None) -> dict | None:
-    """The JSON object a body stands for: None unless the text, without a leading byte-order mark, is one whole object.
-    An object whose only field is an object stands for that object."""
-    if not text:
-        return None
-    try:
-        value = json.loads(text.removeprefix("﻿"), parse_constant=_no_constant)
-    except (ValueError, RecursionError):
-        return None
-    if not isinstance(value, dict):
-        return None
-    if len(value) == 1 and isinstance(inner := next(iter(value.values())), dict):
-        return inner
-    return value
-
-
-def _text_as(value: Any, kind: type) -> Any:
-    """Text that holds JSON, where a list or an object is wanted, is that JSON; other text stays."""
-    if isinstance(value, str):
-        try:
-            return json.loads(value, parse_constant=_no_constant)
-        except (ValueError, RecursionError):
-            return value
-    return value
+class _Scanner:
+    """The library's scanner of one value, made anew where the module's functions travel to."""
 
+    def __init__(self):
+        self.once = json.JSONDecoder(parse_constant=_no_constant).scan_once
 
-def triples(value: Any, kind: Any, path: str = "", ordinals: tuple = ()) -> Iterator[tuple[str, tuple, Any]]:
-    """Depth-first (path, ordinals, value) triples of a value read as `kind` (see `shape`).
+    def __reduce__(self):
+        return _Scanner, ()
 
-    path has * for list places and map keys, ordinals has those places and keys in order. A container that is present
-    gives a triple with value `...` before its content, so empty ones are kept; null values give none.
-    """
-    tag, inner = kind
-    if tag == "list":
-        value = _text_as(value, list)
-        if value is None:
-            return
-        for i, x in enumerate(value if isinstance(value, list) else [value]):
-            yield from triples(x, inner, f"{path}/*", (*ordinals, i))
-    elif tag in ("object", "map"):
-        value = _text_as(value, dict)
-        if not isinstance(value, dict):
-            return
-        if tag == "map":
-            for k, x in value.items():
-                yield from triples(x, inner, f"{path}/*", (*ordinals, k))
-            return
-        yield path, ordinals, ...
-        for name, (snake, field) in inner.items():
-            x = value.get(name)
-            yield from triples(value.get(snake) if x is None else x, field, f"{path}/{name}" if path else name, ordinals)
-    elif value is not None:
-        yield path, ordinals, value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+
+_SCAN = _Scanner()
+_space = re.compile(r"[ \t\n\r]*").match
+_DAMAGE = (ValueError, IndexError, StopIteration, RecursionError)
 
 
 def shape(dtype: DataType) -> Any:
-    """A plain description of a Spark type that travels to the workers: ("list", x), ("map", x),
-    ("object", {name: (snake_name, x)}) or ("value", None)."""
+    """A plain description of a Spark type that travels to the workers: ("list", x), ("map", x), ("object", {field name as
+    written, camel or snake case: (name, whether written so, x)}) or ("value", None)."""
     if isinstance(dtype, ArrayType):
         return "list", shape(dtype.elementType)
     if isinstance(dtype, MapType):
         return "map", shape(dtype.valueType)
     if isinstance(dtype, StructType):
-        return "object", {f.name: (re.sub("([A-Z])", lambda m: "_" + m[1].lower(), f.name), shape(f.dataType)) for f in dtype}
+        fields = {}
+        for f in dtype:
+            kind = shape(f.dataType)
+            fields[re.sub("([A-Z])", lambda m: "_" + m[1].lower(), f.name)] = (f.name, False, kind)
+            fields[f.name] = (f.name, True, kind)
+        return "object", fields
     return "value", None
 
 
+class _Object:
+    """The fields of an object met so far: where their triples lie, so that a field given again can take their place."""
+
+    def __init__(self, out: list):
+        self.out, self.held = out, {}
+
+    def add(self, name: str, as_named: bool, null: bool, start: int) -> None:
+        """The last value of a name counts; of two spellings the schema's own, unless it is null."""
+        out, was = self.out, self.held.get(name)
+        if was is not None:
+            named, empty, a, b = was
+            if as_named == named or (not null if as_named else empty):
+                del out[a:b]
+                for other, (n, e, x, y) in self.held.items():
+                    if x >= b:
+                        self.held[other] = (n, e, x - (b - a), y - (b - a))
+                start -= b - a
+            else:
+                del out[start:]
+                return
+        self.held[name] = (as_named, null, start, len(out))
+
+
+def _members(s: str, i: int, each: Any) -> int:
+    """Goes through the object that begins at i: each(key, where its value begins) gives where the value ends."""
+    i = _space(s, i + 1).end()
+    if s[i] == "}":
+        return i + 1
+    while True:
+        if s[i] != '"':
+            raise ValueError("no name")
+        key, i = scanstring(s, i + 1)
+        i = _space(s, i).end()
+        if s[i] != ":":
+            raise ValueError("no value")
+        i = _space(s, each(key, _space(s, i + 1).end())).end()
+        if s[i] == "}":
+            return i + 1
+        if s[i] != ",":
+            raise ValueError("no end")
+        i = _space(s, i + 1).end()
+
+
+def _object(s: str, i: int, fields: dict, path: str, ordinals: tuple, out: list) -> int:
+    out.append((path, ordinals, ...))
+    own = _Object(out)
+
+    def each(key: str, at: int) -> int:
+        if (known := fields.get(key)) is None:
+            return _SCAN.once(s, at)[1]
+        name, as_named, kind = known
+        start = len(out)
+        end = _read(s, at, kind, f"{path}/{name}" if path else name, ordinals, out)
+        own.add(name, as_named, s.startswith("null", at), start)
+        return end
+
+    return _members(s, i, each)
+
+
+def _map(s: str, i: int, inner: Any, path: str, ordinals: tuple, out: list) -> int:
+    own = _Object(out)
+
+    def each(key: str, at: int) -> int:
+        start = len(out)
+        end = _read(s, at, inner, path, (*ordinals, key), out)
+        own.add(key, True, False, start)
+        return end
+
+    return _members(s, i, each)
+
+
+def _list(s: str, i: int, inner: Any, path: str, ordinals: tuple, out: list) -> int:
+    i = _space(s, i + 1).end()
+    if s[i] == "]":
+        return i + 1
+    place = 0
+    while True:
+        i = _space(s, _read(s, i, inner, path, (*ordinals, place), out)).end()
+        if s[i] == "]":
+            return i + 1
+        if s[i] != ",":
+            raise ValueError("no end")
+        i, place = _space(s, i + 1).end(), place + 1
+
+
+def _read(s: str, i: int, kind: Any, path: str, ordinals: tuple, out: list) -> int:
+    """Appends the triples of the value that begins at i, read as `kind`, and gives its end."""
+    tag, inner = kind
+    if tag == "value":
+        value, end = _SCAN.once(s, i)
+        if value is not None:
+            out.append((path, ordinals, value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)))
+        return end
+    begin = s[i]
+    if begin == '"':  # text that holds JSON is that JSON
+        text, end = scanstring(s, i + 1)
+        start = len(out)
+        try:
+            _whole(text, kind, path, ordinals, out)
+        except _DAMAGE:
+            del out[start:]
+            if tag == "list" and inner[0] == "value":
+                out.append((f"{path}/*", (*ordinals, 0), text))
+        return end
+    if tag == "list":
+        if begin == "[":
+            return _list(s, i, inner, f"{path}/*", ordinals, out)
+        return _SCAN.once(s, i)[1] if s.startswith("null", i) else _read(s, i, inner, f"{path}/*", (*ordinals, 0), out)
+    if begin != "{":
+        return _SCAN.once(s, i)[1]
+    return _object(s, i, inner, path, ordinals, out) if tag == "object" else _map(s, i, inner, f"{path}/*", ordinals, out)
+
+
+def _whole(s: str, kind: Any, path: str, ordinals: tuple, out: list) -> None:
+    if _space(s, _read(s, _space(s, 0).end(), kind, path, ordinals, out)).end() != len(s):
+        raise ValueError("more than one value")
+
+
+def triples(body: str | None, kind: Any) -> list[tuple[str, tuple, Any]]:
+    """Depth-first (path, ordinals, value) triples of a body read as an object of `kind` (see `shape`); none unless the text,
+    without a leading byte-order mark, is one whole JSON object.
+
+    path has * for list places and map keys, ordinals has those places and keys in order. An object that is present gives a
+    triple with value `...` before its content, so empty ones are kept; null values give none. A body whose only field is an
+    object stands for that object. Objects nested too deep for the parser count as damaged.
+    """
+    if not body:
+        return []
+    s = body.removeprefix("\ufeff")
+    out: list = [("", (), ...)]
+    fields, own, keys, last = kind[1], _Object(out), set(), 0
+
+    def each(key: str, at: int) -> int:
+        nonlocal last
+        keys.add(key)
+        last = at
+        if (known := fields.get(key)) is None:
+            return _SCAN.once(s, at)[1]
+        start = len(out)
+        end = _read(s, at, known[2], known[0], (), out)
+        own.add(known[0], known[1], s.startswith("null", at), start)
+        return end
+
+    try:
+        begin = _space(s, 0).end()
+        if s[begin] != "{" or _space(s, _members(s, begin, each)).end() != len(s):
+            return []
+        if len(keys) == 1 and s[last] == "{":
+            out.clear()
+            _object(s, last, fields, "", (), out)
+    except _DAMAGE:
+        return []
+    return out
+
+
 def _fill(pattern: str, ordinals: tuple) -> str:
     left = iter(ordinals)
     return "/".join(str(next(left)) if p == "*" else p for p in pattern.split("/"))
 
 
-def rows_of(stream: Iterator[tuple[str, tuple, Any]], tables: dict[str, list[str]]) -> Iterator[tuple]:
+def rows_of(stream: Iterable[tuple[str, tuple, Any]], tables: dict[str, list[str]]) -> Iterator[tuple]:
     """Pivots a triple stream: one (child, path, parent, ordinal, label, fields) per instance of a table's path."""
     owner = {pattern: table for table, patterns in tables.items() for pattern in patterns}
     nearest: dict[str, tuple[str, str, int]] = {}
@@ -181,12 +300,9 @@ def child_rows(df: DataFrame, key: str, body: str, schema: StructType, tables: d
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(width + 1)]
-            for k, text in zip(batch.column(0), batch.column(1)):
-                record = parse_body(text.as_py())
-                if record is None:
-                    continue
-                for row in rows_of(triples(record, kind), tables):
-                    out[0].append(k.as_py())
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for row in rows_of(triples(text, kind), tables):
+                    out[0].append(k)
                     for i in range(width):
                         out[i + 1].append([(_clean(n), _clean(v)) for n, v in row[i].items()] if i == 5 else _clean(row[i]) if isinstance(row[i], str) else row[i])
             kinds = [batch.schema.field(0).type, pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.map_(pa.string(), pa.string())]
@@ -197,95 +313,12 @@ def child_rows(df: DataFrame, key: str, body: str, schema: StructType, tables: d
     return source.mapInArrow(read, f"_key {key_type}, {ddl}").withColumnRenamed("_key", key)
 
 
-def child_rows_of_columns(df: DataFrame, key: str, tables: dict[str, list[str]] = ANALYSIS_TABLES, fields: bool = True) -> DataFrame:
-    """`child_rows` for records held as nested columns of df: the same rows, by Catalyst expressions, in one scan.
-
-    Only columns that a table's path begins with are read, unless the record itself ("") is a table with fields.
-    """
-    names = {p.split("/")[0] for ps in tables.values() for p in ps}
-    take = [f for f in df.schema if f.name != key and (f.name in names or (fields and "" in names))]
-    owner = {pattern: table for table, patterns in tables.items() for pattern in patterns}
-
-    def row(pattern: str, path: Column, parent: Column, end: Column | None, value: Column, dtype: DataType) -> Column:
-        last = pattern.rpartition("/")[2]
-        parts = [F.lit(owner[pattern]).alias("child"), path.alias("path")]
-        if fields:
-            is_place = last == "*" and end is not None and dict(end=end) and _is_place[pattern]
-            parts += [
-                parent.alias("parent"),
-                (end if is_place else F.lit(None)).cast("int").alias("ordinal"),
-                (F.lit(last or None) if last != "*" else F.lit(None) if is_place else end).cast("string").alias("label"),
-                leaves(value, dtype, pattern).alias("fields"),
-            ]
-        return F.struct(*parts)
-
-    def leaves(value: Column, dtype: DataType, pattern: str) -> Column:
-        """Field map of a row: the scalars below it that no deeper table owns; list places are part of the name."""
-
-        def walk(v: Column, t: DataType, at: str, name: Column | None) -> list[Column]:
-            if at != pattern and at in owner:
-                return []
-            if isinstance(t, StructType):
-                out = []
-                for f in t:
-                    sub = F.lit(f.name) if name is None else F.concat(name, F.lit(f"/{f.name}"))
-                    out += walk(v[f.name], f.dataType, f"{at}/{f.name}" if at else f.name, sub)
-                return out
-            if isinstance(t, ArrayType) and f"{at}/*" not in owner:
-                def each(x: Column, i: Column) -> Column:
-                    parts = walk(x, t.elementType, f"{at}/*", F.concat(name, F.lit("/"), i.cast("string")))
-                    return F.concat(*parts) if parts else F.array().cast("array<struct<key:string,value:string>>")
-                return [F.coalesce(F.flatten(F.transform(v, each)), F.array().cast("array<struct<key:string,value:string>>"))]
-            if isinstance(t, (ArrayType, MapType)):
-                return []
-            text = F.date_format(v, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") if t.typeName() == "timestamp" else v.cast("string")
-            entry = F.struct(F.lit("") .alias("key") if name is None else name.alias("key"), text.alias("value"))
-            return [F.when(v.isNotNull(), F.array(entry)).otherwise(F.array().cast("array<struct<key:string,value:string>>"))]
-
-        parts = walk(value, dtype, pattern, None)
-        return F.map_from_entries(F.concat(*parts)) if parts else F.create_map().cast("map<string,string>")
-
-    _is_place: dict[str, bool] = {}
-
-    def below(value: Column, dtype: DataType, pattern: str, path: Column, parent: Column, end: Column | None) -> list[Column]:
-        """Row arrays of this value and all under it."""
-        if not any(p == pattern or p.startswith(f"{pattern}/" if pattern else "") for p in owner):
-            return []
-        out, up = [], parent
-        if pattern in owner:
-            out.append(F.when(value.isNotNull(), F.array(row(pattern, path, parent, end, value, dtype))))
-            up = path
-        if isinstance(dtype, StructType):
-            for f in dtype:
-                sub = f"{pattern}/{f.name}" if pattern else f.name
-                out += below(value[f.name], f.dataType, sub, F.concat(path, F.lit(f"/{f.name}")) if pattern else F.lit(f.name), up, end)
-        elif isinstance(dtype, (ArrayType, MapType)):
-            sub, inner = f"{pattern}/*", dtype.elementType if isinstance(dtype, ArrayType) else dtype.valueType
-            _is_place[sub] = isinstance(dtype, ArrayType)
-            if isinstance(dtype, ArrayType):
-                made = F.transform(value, lambda x, i: _joined(below(x, inner, sub, F.concat(path, F.lit("/"), i.cast("string")), up, i)))
-            else:
-                made = F.transform(F.map_entries(value), lambda e: _joined(below(e["value"], inner, sub, F.concat(path, F.lit("/"), e["key"]), up, e["key"])))
-            out.append(F.flatten(F.filter(made, lambda x: x.isNotNull())))
-        return out
-
-    def _joined(parts: list[Column]) -> Column:
-        """Concatenation that skips null arrays."""
-        if len(parts) == 1:
-            return parts[0]
-        return F.flatten(F.filter(F.array(*parts), lambda x: x.isNotNull()))
-
-    root = F.lit("")
-    parts: list[Column] = []
-    if "" in owner:
-        record = F.struct(*(F.col(f"`{f.name}`").alias(f.name) for f in take)) if take else None
-        body = StructType(take)
-        parts.append(F.array(row("", root, root, None, record, body) if fields else F.struct(F.lit(owner[""]).alias("child"), root.alias("path"))))
-    for f in take:
-        parts += below(F.col(f"`{f.name}`"), f.dataType, f.name, F.lit(f.name), root, None)
-    if not parts:
-        raise ValueError("no table's path is in the frame")
-    return df.select(F.col(key), F.explode(_joined(parts)).alias("_row")).select(key, "_row.*")
+def as_bodies(df: DataFrame, key: str, tables: dict[str, list[str]] = ANALYSIS_TABLES) -> DataFrame:
+    """(key, body): records held as nested columns as JSON text, nulls kept. Only the columns in which a table's path begins are
+    read; where there is but one, an empty second field keeps the record from standing for its only field."""
+    names = {p.split("/")[0] for ps in tables.values() for p in ps} - {""}
+    take = [f.name for f in df.schema if f.name != key and (f.name in names or (not names))]
+    return df.select(key, F.to_json(F.struct(*(F.col(f"`{c}`").alias(c) for c in take), F.lit(None).cast("string").alias("_")), {"ignoreNullFields": "false"}).alias("body"))
 
 
 def scalar_columns(schema: StructType, child: str, tables: dict[str, list[str]] = ANALYSIS_TABLES) -> dict[str, str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landchange.operators.nested import ANALYSIS_TABLES, child_rows, child_rows_of_columns, flat_table, scalar_columns
+from landchange.operators.nested import ANALYSIS_TABLES, as_bodies, child_rows, flat_table, scalar_columns
 from landchange.operators.spatial import close_pairs, points_in_regions
 from landchange.types import analysis_schema
 
@@ -12,20 +12,16 @@ NEAR_METRES = 50.0
 CHILDREN = ["comparison", "side", "scene", "footprint", "protected_area", "area_change"]
 
 
-def _analysis_rows(spark: SparkSession, d: str, tables: list[str], fields: bool = True) -> DataFrame:
-    """Child rows of both analysis tables."""
+def _analysis_rows(spark: SparkSession, d: str, tables: list[str]) -> DataFrame:
+    """Child rows of both analysis tables, through the triple stream and the pivot."""
     take = {t: ANALYSIS_TABLES[t] for t in tables}
-    typed = child_rows_of_columns(spark.read.parquet(f"{d}/analysis.parquet"), "rec_id", take, fields)
-    raw = child_rows(spark.read.parquet(f"{d}/analysis_raw.parquet"), "rec_id", "body", analysis_schema(), take, fields)
-    return typed.unionByName(raw)
+    typed = as_bodies(spark.read.parquet(f"{d}/analysis.parquet"), "rec_id", take)
+    raw = spark.read.parquet(f"{d}/analysis_raw.parquet").select("rec_id", "body")
+    return child_rows(typed.unionByName(raw), "rec_id", "body", analysis_schema(), take)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    """Both tables through the triple stream; nested columns enter it as JSON, nulls kept so that no record is unwrapped."""
-    take, body = {t: ANALYSIS_TABLES[t] for t in CHILDREN}, F.struct("comparisons", "footprint", "protectedAreas")
-    typed = spark.read.parquet(f"{d}/analysis.parquet").select("rec_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("body"))
-    raw = spark.read.parquet(f"{d}/analysis_raw.parquet").select("rec_id", "body")
-    return child_rows(typed.unionByName(raw), "rec_id", "body", analysis_schema(), take, fields=False)
+    return _analysis_rows(spark, d, CHILDREN).select("rec_id", "child", "path")
 
 
 def _analysis_table(spark: SparkSession, d: str, child: str, *others: str) -> DataFrame:
@@ -69,6 +65,14 @@ def p1_area_changes(spark: SparkSession, d: str) -> DataFrame:
     return _analysis_table(spark, d, "area_change", "protected_area")
 
 
+def p1_forest_losses(spark: SparkSession, d: str) -> DataFrame:
+    return _analysis_table(spark, d, "forest_loss", "loss_year")
+
+
+def p1_loss_years(spark: SparkSession, d: str) -> DataFrame:
+    return _analysis_table(spark, d, "loss_year", "forest_loss")
+
+
 def p1_footprints(spark: SparkSession, d: str) -> DataFrame:
     return _analysis_table(spark, d, "footprint")
 
@@ -83,7 +87,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_comparisons, p1_sides, p1_scenes, p1_years, p1_months, p1_platforms, p1_scene_dates, p1_protected_areas, p1_area_changes, p1_footprints, p2_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_comparisons, p1_sides, p1_scenes, p1_years, p1_months, p1_platforms, p1_scene_dates, p1_protected_areas, p1_area_changes, p1_footprints, p1_forest_losses, p1_loss_years, p2_found)}
 
 #: Brute-force SQL where it is quick on whole tables.
 _TEXT = "CASE WHEN json_type({0}) = 'VARCHAR' AND json_valid({0} ->> '$') THEN CAST({0} ->> '$' AS JSON) ELSE {0} END"

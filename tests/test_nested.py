@@ -5,8 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from landchange.operators.nested import ANALYSIS_TABLES, child_rows, child_rows_of_columns, flat_table, parse_body
+from landchange.operators.nested import ANALYSIS_TABLES, as_bodies, child_rows, flat_table, shape, triples
 from landchange.types import analysis_schema
+from tests.columns_reader import child_rows_of_columns
 
 NAMES = {"comparisons": [{"id": "a", "before": {"sceneIds": ["x", None, "y"]}, "after": None}, None, {"id": None, "before": {}}], "footprint": {}, "protectedAreas": [{"change": {"k": {"insideHa": 1.5}, "n": None}}]}
 PATHS = {
@@ -76,6 +77,39 @@ def test_empty_tables_and_clashing_columns(spark, data):
     assert child_rows(raw, "rec_id", "body", analysis_schema()).count() == 1
 
 
-@pytest.mark.parametrize("text,keys", [('{"a": {"b": {"c": 1}}}', ["b"]), ('{"a": 1}', ["a"]), ('{"a": {}, "b": {}}', ["a", "b"])])
+@pytest.mark.parametrize("text,keys", [('{"x": {"b": {"c": 1}}}', ["b"]), ('{"a": {"b": {"c": 1}}}', ["b"]), ('{"c": 1}', ["c"]), ('{"a": {}, "b": {}}', ["a", "b"]), ('{"x": {"x": {"a": {}}}}', [])])
 def test_one_wrapper_is_opened(text, keys):
-    assert list(parse_body(text)) == keys
+    from pyspark.sql.types import _parse_datatype_string
+
+    kind = shape(_parse_datatype_string("a STRUCT<c:INT>, b STRUCT<c:INT>, c INT"))
+    assert sorted({p.split("/")[0] for p, _, _ in triples(text, kind)} - {""}) == keys
+
+
+TWICE = [
+    ('{"areaHa": 1, "areaHa": 2, "x": 0}', "2"), ('{"area_ha": 1, "areaHa": 2, "x": 0}', "2"), ('{"areaHa": 2, "area_ha": 1, "x": 0}', "2"), ('{"areaHa": null, "area_ha": 1, "x": 0}', "1"),
+    ('{"area_ha": 1, "areaHa": null, "x": 0}', "1"), ('{"areaHa": 1.50, "x": [[], {}]}', "1.5"), ('{"areaHa": "1.50", "x": 1}', "1.50"), ('{"areaHa": {"v": [1, "é"]}, "x": 1}', '{"v": [1, "é"]}'), ('{"areaHa": true, "x": 1}', "true"),
+]
+
+
+@pytest.mark.parametrize("inner,value", TWICE)
+def test_fields_given_twice_and_odd_values(inner, value):
+    got = [v for p, _, v in triples(f' {{"footprint": {inner}, "crs": "u"}} ', shape(analysis_schema())) if p == "footprint/areaHa"]
+    assert got == [value]
+
+
+def test_stream_equals_the_library(data):
+    """Any damage: the stream takes a body exactly where the library's parser takes it as one object."""
+    import random
+
+    rnd = random.Random(3)
+    bodies = [json.dumps(NAMES | {"crs": "a\u00e9 \"b", "gamma": -1.5e3}), json.dumps({"d": NAMES, "e": [True, None]}, indent=1)]
+    kind = shape(analysis_schema())
+    for _ in range(4000):
+        text = rnd.choice(bodies)
+        at = rnd.randrange(len(text))
+        text = rnd.choice([text[:at], text[:at] + rnd.choice('{}[]",:0x \\n') + text[at + rnd.randrange(2) :], text + rnd.choice(["", " ", "}", "1"])])
+        try:
+            ok = isinstance(json.loads(text, parse_constant=lambda c: 1 / 0), dict)
+        except (ValueError, ZeroDivisionError):
+            ok = False
+        assert bool(triples(text, kind)) == ok, text
