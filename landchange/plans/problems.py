@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landchange.operators.nested import ANALYSIS_TABLES, as_bodies, child_rows, flat_table, scalar_columns
@@ -95,18 +97,22 @@ _LIST = "CASE json_type({0}) WHEN 'ARRAY' THEN CAST({0} AS JSON[]) WHEN 'NULL' T
 _NAME = "CASE WHEN json_type({0} -> '{1}') <> 'NULL' THEN {0} -> '{1}' ELSE {0} -> '{2}' END"
 
 
-def _children_sql() -> str:
-    """All children by DuckDB's JSON functions; the nested table takes the way over JSON too."""
+def _snake(name: str) -> str:
+    return re.sub("([A-Z])", lambda m: "_" + m[1].lower(), name)
+
+
+def _parts_sql() -> str:
+    """CTEs of all children by DuckDB's JSON functions; the nested table takes the way over JSON too."""
     named = lambda x, a, b: _NAME.format(x, a, b)
     return f"""
 WITH t AS (SELECT rec_id, CASE WHEN starts_with(body, chr(65279)) THEN substr(body, 2) ELSE body END AS body FROM analysis_raw),
-b AS (SELECT rec_id, to_json({{'comparisons': comparisons, 'footprint': footprint, 'protectedAreas': "protectedAreas"}}) AS j FROM analysis
+b AS (SELECT rec_id, to_json({{'comparisons': comparisons, 'footprint': footprint, 'protectedAreas': "protectedAreas", 'forest': forest}}) AS j FROM analysis
  UNION ALL SELECT rec_id, CAST(body AS JSON) FROM t WHERE json_valid(body)),
 w AS (SELECT rec_id, CASE WHEN len(json_keys(j)) = 1 AND json_type(j -> ('$."' || json_keys(j)[1] || '"')) = 'OBJECT' THEN j -> ('$."' || json_keys(j)[1] || '"') ELSE j END AS j
  FROM b WHERE json_type(j) = 'OBJECT'),
-f AS (SELECT rec_id, j -> 'comparisons' AS c, j -> 'footprint' AS f, {named("j", "protectedAreas", "protected_areas")} AS p FROM w),
-g AS (SELECT rec_id, {_TEXT.format("c")} AS c, {_TEXT.format("f")} AS f, {_TEXT.format("p")} AS p FROM f),
-l AS (SELECT rec_id, {_LIST.format("c")} AS c, f, {_LIST.format("p")} AS p FROM g),
+f AS (SELECT rec_id, j -> 'comparisons' AS c, j -> 'footprint' AS f, {named("j", "protectedAreas", "protected_areas")} AS p, j -> 'forest' AS o FROM w),
+g AS (SELECT rec_id, {_TEXT.format("c")} AS c, {_TEXT.format("f")} AS f, {_TEXT.format("p")} AS p, {_TEXT.format("o")} AS o FROM f),
+l AS (SELECT rec_id, {_LIST.format("c")} AS c, f, {_LIST.format("p")} AS p, o FROM g),
 c0 AS (SELECT rec_id, unnest(c) AS x, generate_subscripts(c, 1) - 1 AS i FROM l WHERE len(c) > 0),
 c1 AS (SELECT rec_id, 'comparisons/' || i AS path, {_TEXT.format("x")} AS x FROM c0),
 c2 AS (SELECT * FROM c1 WHERE json_type(x) = 'OBJECT'),
@@ -119,13 +125,61 @@ p0 AS (SELECT rec_id, unnest(p) AS x, generate_subscripts(p, 1) - 1 AS i FROM l
 p1 AS (SELECT rec_id, 'protectedAreas/' || i AS path, {_TEXT.format("x")} AS x FROM p0), p2 AS (SELECT * FROM p1 WHERE json_type(x) = 'OBJECT'),
 h0 AS (SELECT rec_id, path, x -> 'change' AS x FROM p2), h1 AS (SELECT rec_id, path, {_TEXT.format("x")} AS x FROM h0),
 h2 AS (SELECT rec_id, path, x, unnest(json_keys(x)) AS k FROM h1 WHERE json_type(x) = 'OBJECT'),
-h3 AS (SELECT rec_id, path || '/change/' || k AS path, x -> ('$."' || k || '"') AS x FROM h2), h4 AS (SELECT rec_id, path, {_TEXT.format("x")} AS x FROM h3)
+h3 AS (SELECT rec_id, path || '/change/' || k AS path, x -> ('$."' || k || '"') AS x FROM h2), h4 AS (SELECT rec_id, path, {_TEXT.format("x")} AS x FROM h3),
+q0 AS (SELECT rec_id, 'forest/box' AS path, o -> 'box' AS x FROM l WHERE json_type(o) = 'OBJECT' UNION ALL SELECT rec_id, 'forest/footprint', o -> 'footprint' FROM l WHERE json_type(o) = 'OBJECT'),
+q1 AS (SELECT rec_id, path, {_TEXT.format("x")} AS x FROM q0), q2 AS (SELECT * FROM q1 WHERE json_type(x) = 'OBJECT'),
+k0 AS (SELECT rec_id, path, {named("x", "lossByYear", "loss_by_year")} AS x FROM q2), k1 AS (SELECT rec_id, path, {_TEXT.format("x")} AS x FROM k0),
+k2 AS (SELECT rec_id, path || '/lossByYear/' || k AS path, x -> ('$."' || k || '"') AS x FROM (SELECT rec_id, path, x, unnest(json_keys(x)) AS k FROM k1 WHERE json_type(x) = 'OBJECT'))"""
+
+
+def _children_sql() -> str:
+    return _parts_sql() + """
 SELECT rec_id, 'comparison' AS child, path FROM c2 UNION ALL SELECT rec_id, 'side', path FROM s2 UNION ALL SELECT rec_id, 'scene', path FROM n3 WHERE json_type(x) <> 'NULL'
 UNION ALL SELECT rec_id, 'footprint', 'footprint' FROM l WHERE json_type(f) = 'OBJECT' UNION ALL SELECT rec_id, 'protected_area', path FROM p2
 UNION ALL SELECT rec_id, 'area_change', path FROM h4 WHERE json_type(x) = 'OBJECT'"""
 
 
-ORACLE = {
+#: Columns of the flat tables, written out so that the SQL stands on its own; v text, i whole numbers, d numbers.
+COLUMNS = {
+    "comparison": "id v, title v, sensor v, nativeResolutionM i, attribution v, change/ndviVegetated d, change/ndviBare d, change/comparableFraction d, change/vegetatedBeforeHa d, change/vegetationToBareHa d, change/insideFootprintHa d, change/overlay v,"
+    " water/ndwiWater d, water/ndwiDry d, water/landToWaterHa d, water/waterToLandHa d, water/landToWaterInsideFootprintHa d, water/overlay v",
+    "side": "platformLabel v, sceneCount i, clearFraction d, medianClearObservations d, image v, geotiff v",
+    "footprint": "source v, citation v, url v, polygons i, areaHa d, svgPath v, geojson v",
+    "protected_area": "id v, name v, short v, law v, url v, bufferKm d, areaSvgPath v, boundarySvgPath v, bufferSvgPath v, footprintDistanceKm d, footprintInsideHa d, footprintInBufferHa d",
+    "area_change": "insideHa d, bufferHa d", "forest_loss": "areaHa d, treeCover2000Ha d, lossHa d", "loss_year": " d", "scene": " v", "year": " i", "month": " i", "platform": " v", "scene_date": " v",
+}
+FLAT = {"p1_comparisons": "comparison", "p1_sides": "side", "p1_scenes": "scene", "p1_years": "year", "p1_months": "month", "p1_platforms": "platform", "p1_scene_dates": "scene_date", "p1_protected_areas": "protected_area",
+        "p1_area_changes": "area_change", "p1_footprints": "footprint", "p1_forest_losses": "forest_loss", "p1_loss_years": "loss_year"}
+
+
+def _flat_sql(child: str) -> str:
+    """A flat table: the child's values by name, as text tried as their types."""
+    kinds = {"v": "VARCHAR", "i": "INTEGER", "d": "DOUBLE"}
+    lists = {"scene": "sceneIds", "year": "years", "month": "months", "platform": "platforms", "scene_date": "sceneDates"}
+    source, up = {
+        "comparison": ("SELECT rec_id, path, x FROM c2", 2), "side": ("SELECT rec_id, path, x FROM s2", 1), "footprint": ("SELECT rec_id, 'footprint' AS path, f AS x FROM l WHERE json_type(f) = 'OBJECT'", 1),
+        "protected_area": ("SELECT rec_id, path, x FROM p2", 2), "area_change": ("SELECT rec_id, path, x FROM h4 WHERE json_type(x) = 'OBJECT'", 2), "forest_loss": ("SELECT rec_id, path, x FROM q2", 2), "loss_year": ("SELECT rec_id, path, x FROM k2 WHERE json_type(x) <> 'NULL'", 2),
+    }.get(child, ("", 2))
+    if child in lists:
+        name = lists[child]
+        source = f"""SELECT * FROM (SELECT rec_id, path || '/{name}/' || (generate_subscripts(y, 1) - 1) AS path, unnest(y) AS x FROM (SELECT rec_id, path, {_LIST.format("y")} AS y FROM
+ (SELECT rec_id, path, {_TEXT.format("y")} AS y FROM (SELECT rec_id, path, {_NAME.format("x", name, _snake(name))} AS y FROM s2))) WHERE len(y) > 0) WHERE json_type(x) <> 'NULL'"""
+    cuts = "split(path, '/')"
+    parent = "''" if child in ("comparison", "footprint", "protected_area", "forest_loss") else f"array_to_string({cuts}[:-{up + 1}], '/')"
+    place = f"try_cast({cuts}[-1] AS INTEGER)" if child in lists or child in ("comparison", "protected_area") else "CAST(NULL AS INTEGER)"
+    label = "CAST(NULL AS VARCHAR)" if child in lists or child in ("comparison", "protected_area") else f"{cuts}[-1]"
+
+    def value(name: str) -> str:
+        at = "x"
+        for part in name.split("/") if name else []:
+            at = f"({_NAME.format(at, part, _snake(part))})" if at == "x" else f"(SELECT {_NAME.format('i', part, _snake(part))} FROM (SELECT {_TEXT.format(at)} AS i))"
+        return f"({at} ->> '$')"
+
+    columns = ", ".join(f"try_cast({value(n)} AS {kinds[t]}) AS {re.sub(r'\W', '_', n) or 'value'}" for n, t in (c.strip(",").rsplit(" ", 1) for c in COLUMNS[child].replace(", ", ",|").split("|")))
+    return f"{_parts_sql()}, o AS ({source}) SELECT rec_id, path, {parent} AS parent, {place} AS ordinal, {label} AS label, {columns} FROM o"
+
+
+ORACLE = {name: _flat_sql(child) for name, child in FLAT.items()} | {
     "p1_found": _children_sql(),
     "p2_found": """
 WITH c AS (SELECT DISTINCT cand_key, year, lon, lat FROM candidates WHERE lon BETWEEN -180 AND 180 AND lat BETWEEN -90 AND 90),
