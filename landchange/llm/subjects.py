@@ -3,8 +3,9 @@
 The unit is the sentence: its words' vectors (each the mean of the embeddings of the word and its character n-grams, hashed)
 are averaged, and every subject has a logistic output of its own. Labels are per document, so sentences are first taught their
 document's labels in equal parts, later the label that the model itself finds in the sentence, or none, so boilerplate and
-passing remarks lose their part. Partitions hold shards of the labelled sentences; each round every shard goes some gradient
-steps from the shared weights, and the shards' steps are averaged.
+passing remarks lose their part. Partitions hold shards of the labelled sentences; each round every shard gives the gradient of
+its sentences at the shared weights, and the sum of all shards' gradients moves the weights by one step, whose moments are kept
+from round to round. So the result doesn't depend on how the sentences are spread.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from landchange.session import stage
 
-#: Labelled documents that are learnt from at most (by hash, where there are more), and the shards they are spread over.
-MAX_LABELLED, SHARDS = 50_000, 8
-BUCKETS, WIDTH, ROUNDS, SOFT_ROUNDS, STEPS, RATE = 1 << 15, 24, 14, 5, 10, 0.05
+#: Labelled documents that are learnt from at most (by hash, where there are more), and how many make a shard.
+MAX_LABELLED, SHARD_DOCUMENTS = 50_000, 1_000
+BUCKETS, WIDTH, ROUNDS, SOFT_ROUNDS, RATE = 1 << 15, 24, 40, 15, 0.15
 #: Share of a document's sentences from which a subject is its own; probability from which a sentence is about a subject.
 LEAST_SHARE, LEAST_P = 0.2, 0.5
 
@@ -32,7 +33,7 @@ def sentences(text: str | None) -> list[str]:
     """Sentences of a text, by line and closing mark; tags and headings are taken out, pieces without a letter are none."""
     if not text:
         return []
-    plain = html.unescape(re.sub(r"<[^<>]{0,200}>", "\n", text)) if "<" in text or "&" in text else text
+    plain = html.unescape(re.sub(r"<[^<>]*>", "\n", text)) if "<" in text or "&" in text else text
     out = []
     for line in plain.splitlines():
         line = line.strip()
@@ -42,19 +43,25 @@ def sentences(text: str | None) -> list[str]:
     return out
 
 
+TOKEN = re.compile(r"\w+").findall
+
+
+def plain_word(token: str) -> str:
+    if token.isalpha():
+        return token
+    if any(c.isalpha() for c in token):
+        token = token.replace("1", "l").replace("0", "o")
+    return re.sub(r"\d+", "0", token)
+
+
 def words(sentence: str) -> list[str]:
     """Lower-case words; numbers become 0, and digits that stand for letters inside a word (1 for l, 0 for o) are undone."""
-    out = []
-    for w in re.findall(r"\w+", sentence.lower()):
-        if not w.isalpha() and any(c.isalpha() for c in w):
-            w = w.replace("1", "l").replace("0", "o")
-        out.append(re.sub(r"\d+", "0", w))
-    return out
+    return [plain_word(w) for w in TOKEN(sentence.lower())]
 
 
 def word_features(word: str) -> list[int]:
-    """Hashed features of a word: itself and its character 3- to 5-grams with word ends."""
-    edged = f"<{word[:64]}>"
+    """Hashed features of a word, however long: itself and its character 3- to 5-grams with word ends."""
+    edged = f"<{word}>"
     grams = {edged} | {edged[i : i + n] for n in (3, 4, 5) for i in range(len(edged) - n + 1)}
     return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in sorted(grams)]
 
@@ -107,45 +114,50 @@ def start_weights(outputs: int, seed: int = 0) -> dict[str, np.ndarray]:
     return {"e": rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32), "w": rng.normal(0, 0.1, (WIDTH, outputs)).astype(np.float32), "b": np.full(outputs, -2.0, np.float32)}
 
 
-def train_shard(shard: dict, weights: dict, soft: bool, steps: int = STEPS) -> dict[str, np.ndarray]:
-    """The change of the weights after some Adam steps over a shard. Only rows of e that the shard uses are changed."""
-    e, w, b = weights["e"].copy(), weights["w"].copy(), weights["b"].copy()
-    feats, word, allowed = shard["feats"], shard["word"], shard["allowed"]
-    by_feat, by_word = _Scatter(feats), _Scatter(word)
-    word_sizes = np.diff(np.append(shard["feat_at"], len(feats)))
-    sent_sizes = np.diff(np.append(shard["word_at"], len(word)))
-    state = {k: [np.zeros_like(x), np.zeros_like(x)] for k, x in (("e", e[by_feat.keys]), ("w", w), ("b", b))}
-
-    def forward() -> tuple[np.ndarray, np.ndarray]:
-        word_vec, _ = _mean_rows(e[feats], shard["feat_at"], len(feats))
-        mean, _ = _mean_rows(word_vec[word], shard["word_at"], len(word))
-        return mean, 1 / (1 + np.exp(-np.clip(mean @ w + b, -30, 30)))
-
-    def adam(name: str, value: np.ndarray, grad: np.ndarray, t: int) -> np.ndarray:
-        m, v = state[name]
-        m += 0.1 * (grad - m)
-        v += 0.01 * (grad * grad - v)
-        return value - RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-
-    target = allowed / np.maximum(allowed.sum(1, keepdims=True), 1)
-    if not soft:  # the document's label that the sentence is about, if any
-        _, p = forward()
-        among = np.where(allowed > 0, p, -1.0)
-        best = among.argmax(1)
-        target = np.zeros_like(allowed)
-        sure = among.max(1) > 0.35
-        target[sure, best[sure]] = 1.0
-    for t in range(1, steps + 1):
-        mean, p = forward()
-        out = (p - target) / len(p)
-        grad_mean = out @ w.T
-        grad_word = by_word(np.repeat(grad_mean / sent_sizes[:, None], sent_sizes, axis=0))
-        per_word = np.zeros((len(word_sizes), grad_word.shape[1]), np.float32)
-        per_word[by_word.keys] = grad_word
-        grad_e = by_feat(np.repeat(per_word / word_sizes[:, None], word_sizes, axis=0))
-        w, b = adam("w", w, mean.T @ out, t), adam("b", b, out.sum(0), t)
-        e[by_feat.keys] = adam("e", e[by_feat.keys], grad_e, t)
-    return {"rows": by_feat.keys, "e": e[by_feat.keys] - weights["e"][by_feat.keys], "w": w - weights["w"], "b": b - weights["b"], "n": len(allowed)}
+class Shard:
+    """Sentences of a shard, ready for any number of rounds."""
+
+    def __init__(self, arrays: dict):
+        self.feats, self.word, self.allowed = arrays["feats"], arrays["word"], arrays["allowed"]
+        self.feat_at, self.word_at = arrays["feat_at"], arrays["word_at"]
+        self.by_feat, self.by_word = _Scatter(self.feats), _Scatter(self.word)
+        self.word_sizes = np.diff(np.append(self.feat_at, len(self.feats)))
+        self.sent_sizes = np.diff(np.append(self.word_at, len(self.word)))
+
+    def gradient(self, weights: dict, soft: bool) -> dict[str, np.ndarray]:
+        """The sum of the sentences' gradients at the weights, of the embeddings only the rows the shard uses. soft: taught the
+        document's labels in equal parts; else the one of them, if any, that the model finds in the sentence."""
+        e, w, allowed = weights["e"], weights["w"], self.allowed
+        word_vec, _ = _mean_rows(e[self.feats], self.feat_at, len(self.feats))
+        mean, _ = _mean_rows(word_vec[self.word], self.word_at, len(self.word))
+        p = 1 / (1 + np.exp(-np.clip(mean @ w + weights["b"], -30, 30)))
+        if soft:
+            target = allowed / np.maximum(allowed.sum(1, keepdims=True), 1)
+        else:
+            among = np.where(allowed > 0, p, -1.0)
+            target, sure = np.zeros_like(allowed), among.max(1) > 0.35
+            target[sure, among.argmax(1)[sure]] = 1.0
+        out = (p - target).astype(np.float32)
+        per_word = np.zeros((len(self.word_sizes), e.shape[1]), np.float32)
+        per_word[self.by_word.keys] = self.by_word(np.repeat(out @ w.T / self.sent_sizes[:, None].astype(np.float32), self.sent_sizes, axis=0))
+        by_feat = self.by_feat(np.repeat(per_word / self.word_sizes[:, None].astype(np.float32), self.word_sizes, axis=0))
+        return {"rows": self.by_feat.keys, "e": by_feat, "w": mean.T @ out, "b": out.sum(0), "n": len(allowed)}
+
+
+class Adam:
+    """Steps down summed gradients, with moments kept from step to step."""
+
+    def __init__(self, weights: dict[str, np.ndarray]):
+        self.weights, self.turn = weights, 0
+        self.moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in weights.items()}
+
+    def step(self, gradients: dict[str, np.ndarray]) -> None:
+        self.turn += 1
+        for k, g in gradients.items():
+            m, v = self.moments[k]
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            self.weights[k] = self.weights[k] - (RATE * (m / (1 - 0.9**self.turn)) / (np.sqrt(v / (1 - 0.99**self.turn)) + 1e-8)).astype(np.float32)
 
 
 def labelled_documents(documents: DataFrame, labels: DataFrame, subjects: list[str]) -> DataFrame:
@@ -172,34 +184,31 @@ def train(labelled: DataFrame, outputs: int, seed: int = 0) -> dict[str, np.ndar
             if shard:
                 yield pd.DataFrame({"shard": [pickle.dumps(shard)]})
 
-    shards = stage(labelled.repartition(SHARDS, F.xxhash64("doc_id")).mapInPandas(pack, "shard BINARY"), "shards").repartition(SHARDS)
-    weights = start_weights(outputs, seed)
+    labelled = stage(labelled, "labelled")
+    count = -(-labelled.count() // SHARD_DOCUMENTS) or 1  # by rows; at most MAX_LABELLED / SHARD_DOCUMENTS or so
+    shards = stage(labelled.repartition(count, F.xxhash64("doc_id")).mapInPandas(pack, "shard BINARY"), "shards").repartition(count)
+    learner = Adam(start_weights(outputs, seed))
     for turn in range(ROUNDS):
-        shared, soft = spark.sparkContext.broadcast(weights), turn < SOFT_ROUNDS
+        shared, soft = spark.sparkContext.broadcast(learner.weights), turn < SOFT_ROUNDS
 
         def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for shard in batch["shard"]:
-                    yield pd.DataFrame({"change": [pickle.dumps(train_shard(pickle.loads(shard), shared.value, soft))]})
+                    yield pd.DataFrame({"gradient": [pickle.dumps(Shard(pickle.loads(shard)).gradient(shared.value, soft))]})
 
-        # at most SHARDS changes of the weights' size
-        changes = [pickle.loads(r["change"]) for r in shards.mapInPandas(step, "change BINARY").collect()]
-        total = sum(c["n"] for c in changes)
+        # one gradient a shard, none larger than the weights
+        parts = [pickle.loads(r["gradient"]) for r in shards.mapInPandas(step, "gradient BINARY").collect()]
+        total = sum(g["n"] for g in parts)
         if not total:
-            return weights
-        new = {k: v.copy() for k, v in weights.items()}
-        seen = np.zeros(BUCKETS, np.float32)
-        moved = np.zeros_like(new["e"])
-        for c in sorted(changes, key=lambda c: (c["n"], float(c["b"].sum()))):
-            # a row that few shards use moves as those shards say
-            moved[c["rows"]] += c["e"] * c["n"]
-            seen[c["rows"]] += c["n"]
-            new["w"] += c["w"] * (c["n"] / total)
-            new["b"] += c["b"] * (c["n"] / total)
-        new["e"] += moved / np.maximum(seen, 1)[:, None]
-        weights = new
+            break
+        whole = {k: np.zeros_like(v) for k, v in learner.weights.items()}
+        for g in sorted(parts, key=lambda g: (g["n"], float(g["b"].sum()))):  # in one order, so that sums round alike
+            whole["e"][g["rows"]] += g["e"] / total
+            whole["w"] += g["w"] / total
+            whole["b"] += g["b"] / total
+        learner.step(whole)
         shared.unpersist()
-    return weights
+    return learner.weights
 
 
 def subject_shares(documents: DataFrame, weights: dict[str, np.ndarray], subjects: list[str]) -> DataFrame:
@@ -222,7 +231,7 @@ def subject_shares(documents: DataFrame, weights: dict[str, np.ndarray], subject
             for row, text in enumerate(batch["text"]):
                 n = 0
                 for s in sentences(text):
-                    own = words(s)
+                    own = TOKEN(s.lower())
                     if not own:
                         continue
                     n += 1
@@ -230,11 +239,11 @@ def subject_shares(documents: DataFrame, weights: dict[str, np.ndarray], subject
                     owner.append(row)
                     for w in own:
                         k = index.get(w)
-                        if k is None:
+                        if k is None:  # tokens are kept as they stand, so that each is looked into once
                             k = index[w] = len(index)
                             if k >= len(known):
                                 known = np.vstack([known, np.zeros_like(known)])
-                            known[k] = table[word_features(w)].mean(0)
+                            known[k] = table[word_features(plain_word(w))].mean(0)
                         ids.append(k)
                 counts.append(n)
             if not at:
@@ -243,6 +252,8 @@ def subject_shares(documents: DataFrame, weights: dict[str, np.ndarray], subject
             about = np.zeros((len(batch), table.shape[1]), np.int64)
             np.add.at(about, np.array(owner), (mean + bias > cut).astype(np.int64))
             r, c = np.nonzero(about)
+            if not len(r):
+                continue
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[r], "subject": np.array(subjects, object)[c], "about": about[r, c], "sentences": np.array(counts)[r]})
 
     return documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInPandas(score, f"doc_id {kind}, subject STRING, about BIGINT, sentences BIGINT")

@@ -298,6 +298,41 @@ def test_sentences():
     assert U.words("Fami1ies m0ved 12,5 km in 1990") == ["families", "moved", "0", "0", "km", "in", "0"]
 
 
+def test_long_words_and_tags_are_whole():
+    long = "x" * 300
+    assert len(set(U.word_features(long + "y")) - set(U.word_features(long))) >= 4
+    assert U.sentences(f"One.<a href='{long}'>Two.</a>") == ["One.", "Two."]
+
+
+def test_gradients_sum_over_shards_and_are_right():
+    texts, own = ["Pits and ore. Roads.", "Trees and birds. More trees 12 m0re.", "Ore and trees."], [[0], [1], [0, 1]]
+    weights = U.start_weights(2)
+
+    def loss(w, arrays):
+        s = U.Shard(arrays)
+        word, _ = U._mean_rows(w["e"][s.feats].astype(float), s.feat_at, len(s.feats))
+        mean, _ = U._mean_rows(word[s.word], s.word_at, len(s.word))
+        z, t = mean @ w["w"] + w["b"], s.allowed / np.maximum(s.allowed.sum(1, keepdims=True), 1)
+        return float((np.log1p(np.exp(z)) - t * z).sum())
+
+    def dense(g):
+        e = np.zeros_like(weights["e"])
+        e[g["rows"]] = g["e"]
+        return {"e": e, "w": g["w"], "b": g["b"]}
+
+    every = U.make_shard(texts, own, 2)
+    whole = dense(U.Shard(every).gradient(weights, True))
+    parts = [dense(U.Shard(U.make_shard([t], [o], 2)).gradient(weights, True)) for t, o in zip(texts, own)]
+    for k in whole:
+        assert np.allclose(whole[k], sum(p[k] for p in parts), atol=1e-6)
+    row = int(U.Shard(every).by_feat.keys[3])
+    for k, at in (("e", (row, 5)), ("w", (2, 1)), ("b", (0,))):
+        up, down = ({n: v.astype(float) for n, v in weights.items()} for _ in range(2))
+        up[k][at] += 1e-4
+        down[k][at] -= 1e-4
+        assert (loss(up, every) - loss(down, every)) / 2e-4 == pytest.approx(float(whole[k][at]), rel=1e-3, abs=1e-5)
+
+
 def test_subjects_of_odd_rows(spark):
     docs = spark.createDataFrame([(i, "Pits and ore. More ore in the pit." if i % 2 else "Trees and birds. More birds in a tree.", 1) for i in range(40)] + [(100, None, 1), (101, "", 1), (102, "ore " * 20_000, 1), (None, "ore", 1)], "doc_id BIGINT, text STRING, about INT")
     labels = spark.createDataFrame([(i, "mining" if i % 2 else "forest", "a") for i in range(20)] * 2 + [(None, "mining", "a"), (3, "unknown", None), (999, "forest", "b")], "doc_id BIGINT, subject STRING, labelled_by STRING")
