@@ -127,10 +127,11 @@ def placed_outlines(rings: Column, lon: Column, lat: Column, pixel_m: float = 20
     return run(rings, lon, lat)
 
 
-def cells_of(geometry: Column, step: float) -> Column:
-    """[X2, X15] cells (r, c) of a lattice of `step` whose centres lie in a geometry, even-odd, as an Arrow kernel."""
+def runs_of(geometry: Column, step: float, band: int) -> Column:
+    """[X2, X15] cells of a lattice of `step` whose centres lie in a geometry, even-odd, as runs (r, c0, c1) of cells c0 <= c < c1
+    in a row, cut where they pass a multiple of `band`, as an Arrow kernel."""
 
-    @F.pandas_udf("ARRAY<STRUCT<r:BIGINT,c:BIGINT>>")
+    @F.pandas_udf("ARRAY<STRUCT<r:BIGINT,c0:BIGINT,c1:BIGINT>>")
     def run(shapes: pd.Series) -> pd.Series:
         out = []
         for polygons in shapes:
@@ -139,14 +140,18 @@ def cells_of(geometry: Column, step: float) -> Column:
                 out.append(None)
                 continue
             x0, y0, x1, y1 = np.array(ends).T
-            cells = []
+            runs = []
             for r in range(math.floor(min(y0.min(), y1.min()) / step), math.floor(max(y0.max(), y1.max()) / step) + 1):
                 y = (r + 0.5) * step
                 cut = (y0 > y) != (y1 > y)
                 xs = np.sort((x1[cut] - x0[cut]) * (y - y0[cut]) / (y1[cut] - y0[cut]) + x0[cut])
                 for left, right in zip(xs[::2], xs[1::2]):
-                    cells += [{"r": r, "c": c} for c in range(math.ceil(left / step - 0.5), math.ceil(right / step - 0.5))]
-            out.append(cells)
+                    begin, end = math.ceil(left / step - 0.5), math.ceil(right / step - 0.5)
+                    while begin < end:
+                        upto = min(end, (begin // band + 1) * band)
+                        runs.append({"r": r, "c0": begin, "c1": upto})
+                        begin = upto
+            out.append(runs)
         return pd.Series(out, dtype=object)
 
     return run(geometry)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 def scene_search(scenes: DataFrame, years: list[int], months: tuple[int, int], max_cloud: float, platforms: list[str] | None = None) -> DataFrame:
     """[S2, S2a, U1, O1] scenes of the years' month windows under a cloud limit, with the year they were found for, in order of
-    time. A window ends on the first day of the month after, included. A month range that passes the turn of the year ends in
+    time (`datetime`, then `id` where there is one). A window ends on the first day of the month after, included. A month range that passes the turn of the year ends in
     the next year."""
     first, last = months
     rows = scenes.where(F.col("cloud") <= max_cloud)
@@ -18,7 +18,7 @@ def scene_search(scenes: DataFrame, years: list[int], months: tuple[int, int], m
     begin = lambda y: F.make_date(y, F.lit(first), F.lit(1))
     end = lambda y: F.add_months(F.make_date(y + (1 if last < first else 0), F.lit(last), F.lit(1)), 1)
     hits = F.filter(found, lambda y: (day >= begin(y)) & (day <= end(y)))
-    return rows.withColumn("year", F.explode(hits))
+    return rows.withColumn("year", F.explode(hits)).orderBy("datetime", *(["id"] if "id" in scenes.columns else []), "year")
 
 
 def merge_defaults(rows: DataFrame, defaults: dict[str, object]) -> DataFrame:
@@ -58,11 +58,19 @@ def upsert(store: DataFrame, changes: DataFrame, key: str, order: str, delete: C
     return kept.select(store.columns).unionByName(last.where(~delete).select(store.columns))
 
 
+#: Columns of a band of the lattice; a run of cells lies in one band.
+BAND = 64
+
+
 def relink(candidates: DataFrame, reviews: DataFrame, least: float = 0.3) -> DataFrame:
     """[J8, X15, C12] (candidate, review, iou) by cells on one lattice: each candidate's review of highest IoU, later reviews win
-    ties. candidates: candidate, r, c; reviews: review, ord, r, c. Shared cells come from an equi-join."""
-    size = lambda df, k: df.groupBy(k).agg(F.count("*").alias(f"n_{k}"))
-    shared = candidates.join(reviews, ["r", "c"]).groupBy("candidate", "review", "ord").agg(F.count("*").alias("n"))
+    ties. candidates: candidate, r, c0, c1; reviews: review, ord, r, c0, c1: runs of cells c0 <= c < c1 of row r that don't pass
+    a multiple of BAND. Runs of one row and band meet in an equi-join, so an outline's rows count, not its cells."""
+    band = lambda df: df.withColumn("_band", F.floor(F.col("c0") / BAND))
+    size = lambda df, k: df.groupBy(k).agg(F.sum(F.col("c1") - F.col("c0")).alias(f"n_{k}"))
+    p, q = band(candidates).alias("p"), band(reviews).alias("q")
+    both = F.least("p.c1", "q.c1") - F.greatest("p.c0", "q.c0")
+    shared = p.join(q, (F.col("p.r") == F.col("q.r")) & (F.col("p._band") == F.col("q._band")) & (both > 0)).groupBy("candidate", "review", "ord").agg(F.sum(both).alias("n"))
     scored = shared.join(size(candidates, "candidate"), "candidate").join(size(reviews, "review"), "review")
     iou = scored.withColumn("iou", F.col("n") / (F.col("n_candidate") + F.col("n_review") - F.col("n"))).where(F.col("iou") >= least)
     return iou.groupBy("candidate").agg(F.max_by(F.struct("review", "iou"), F.struct("iou", "ord")).alias("_b")).select("candidate", "_b.*")

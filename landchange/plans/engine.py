@@ -135,17 +135,9 @@ def temporal_diff(spark, d):
     return f.join(earlier, ["region", "year", "row", "col"]).select("region", "year", "row", "col", (F.col("ndvi") - F.col("before")).alias("d_ndvi"))
 
 
-@query(f"""WITH {L.OBS} SELECT pixel, round(median(10 * log10(CASE WHEN value > 0 THEN value END)), 9) AS db, round(stddev_pop(10 * log10(CASE WHEN value > 0 THEN value END)), 6) AS db_std
-FROM obs WHERE qa % 3 = 0 GROUP BY pixel""")
-def radar_stats(spark, d):
-    """Only of views whose qa is a multiple of 3, as in its SQL; radar_stats_all is the whole of P23 and A16."""
-    db = P.decibels(F.col("value"))
-    return L.obs(spark, d).where("qa % 3 = 0").groupBy("pixel").agg(F.round(F.median(db), 9).alias("db"), F.round(F.stddev_pop(db), 6).alias("db_std"))
-
-
 @query(f"""WITH {L.OBS}, p AS (SELECT pixel, 10 * log10(CASE WHEN value > 0 THEN value END) AS x FROM obs)
 SELECT pixel, round(median(x), 9) AS db, round(stddev_pop(x), 6) AS db_std FROM p GROUP BY pixel""")
-def radar_stats_all(spark, d):
+def radar_stats(spark, d):
     """[P23, A16] of all views of a pixel"""
     db = P.decibels(F.col("value"))
     return L.obs(spark, d).groupBy("pixel").agg(F.round(F.median(db), 9).alias("db"), F.round(F.stddev_pop(db), 6).alias("db_std"))
@@ -339,13 +331,6 @@ def polygon_area(spark, d):
     return L.zones(spark).select("zone", G.polygon_area(F.col("polygon")).alias("shoelace"))
 
 
-@query("SELECT area_key, round(abs(stated_area_ha - 100000) / stated_area_ha, 9) AS off FROM protected_areas WHERE abs(stated_area_ha - 100000) / stated_area_ha > 0.03")
-def area_gate(spark, d):
-    """The gate alone, over one stand-in for all measures, as in its SQL; area_gate_measured is X11 and D4."""
-    areas = spark.read.parquet(f"{d}/protected_areas.parquet").withColumn("measured", F.lit(100000.0))
-    return G.area_gate(areas, "measured", "stated_area_ha").select("area_key", F.round("off", 9).alias("off"))
-
-
 @query(f"""{_rings_sql("SELECT area_key AS k, CAST(geometry AS JSON) AS g FROM protected_areas")},
  z AS (SELECT k, CAST(floor(((min(x) + max(x)) / 2 + 180) / 6) + 1 AS INTEGER) AS zone FROM points GROUP BY k),
  t AS (SELECT *, radians(y) AS phi, radians(x - (zone * 6 - 183)) AS lam, {crs._E!r} AS e FROM points JOIN z USING (k)),
@@ -355,7 +340,7 @@ def area_gate(spark, d):
  a AS (SELECT a.k, a.part, a.nr, abs(sum(a.e * b.n - b.e * a.n)) / 20000 AS ha FROM m a JOIN m b ON a.k = b.k AND a.part = b.part AND a.nr = b.nr AND b.i = a.i + 1 GROUP BY ALL),
  h AS (SELECT k, sum(CASE WHEN nr = 1 THEN ha ELSE -ha END) AS measured FROM a GROUP BY k)
 SELECT area_key, round(measured, 3) AS measured, round(abs(measured - stated_area_ha) / stated_area_ha, 7) AS off FROM protected_areas JOIN h ON k = area_key WHERE abs(measured - stated_area_ha) / stated_area_ha > 0.03""")
-def area_gate_measured(spark, d):
+def area_gate(spark, d):
     """[X11, D4] areas whose outline's area in UTM is more than 3 % off the stated one; buffer lines have none"""
     areas = spark.read.parquet(f"{d}/protected_areas.parquet").withColumn("g", G.geojson_polygons(F.col("geometry")))
     return G.area_gate(G.measured_ha(areas, "g"), "measured", "stated_area_ha").select("area_key", F.round("measured", 3).alias("measured"), F.round("off", 7).alias("off"))
@@ -641,6 +626,15 @@ def _labelled(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/features.parquet").where("y BETWEEN 0 AND 5").dropDuplicates(_KEYS)
 
 
+@query("""WITH u AS (SELECT DISTINCT region, year, row, col, y FROM features WHERE y BETWEEN 0 AND 5)
+SELECT region, CAST(y AS INTEGER) AS y, count(*) AS available, least(count(*), 20) AS drawn, least(count(*), 20) AS among FROM u GROUP BY region, y""")
+def stratified_counts(spark, d):
+    """[A20] per region and class: pixels there are, drawn ones, and different ones among them"""
+    rows = spark.read.parquet(f"{d}/features.parquet").where("y BETWEEN 0 AND 5").select(*_KEYS, "y").distinct()
+    drawn = stratified_sample(spark, d).groupBy("region", "y").agg(F.count("*").alias("drawn"), F.count_distinct("year", "row", "col").alias("among"))
+    return rows.groupBy("region", "y").agg(F.count("*").alias("available")).join(drawn, ["region", "y"]).withColumn("y", F.col("y").cast("int"))
+
+
 @query()
 def stratified_sample(spark, d):
     """[A20, L1] at most 20 pixels per region and class"""
@@ -658,20 +652,26 @@ def isotonic_calibration(spark, d):
 
 @query()
 def leave_one_region_out(spark, d):
-    """[L1, L3-L6, L8] a forest for each training region from the others, and one of all of them for the test regions"""
+    """[L1, L3-L6, L8] each training region is scored by a forest of other regions only, held out in FOLDS groups, and the test
+    regions by one of all training regions"""
     regions = spark.read.parquet(f"{d}/ml_regions.parquet").where("split IN ('train', 'test')").select(F.col("name").alias("region"), "split")
     return _evaluated(spark.read.parquet(f"{d}/features.parquet").dropDuplicates(_KEYS).join(F.broadcast(regions), "region"))
 
 
-def _evaluated(rows: DataFrame, most: int = 4000, fit=learn.fit_forest) -> DataFrame:
+#: Groups of regions that are held out together; None holds out each region alone, at a model a region.
+FOLDS = 5
+
+
+def _evaluated(rows: DataFrame, most: int = 4000, fit=learn.fit_forest, folds: int | None = FOLDS) -> DataFrame:
     """(split, region, threshold, ap, positive_share, precision, recall, p_at_25, p_at_50, p_at_75) of every region, and with
     region NULL of each split's rows pooled. split is train for out-of-fold scores; the threshold is theirs for precision 0.75."""
     rows = stage(rows, "learn")
     train, pixels = rows.where("split = 'train' AND y BETWEEN 0 AND 5"), learn.scoring_set(rows)
-    held = [r["region"] for r in pixels.where("split = 'train'").select("region").distinct().orderBy("region").collect()]
-    folds = learn.leave_one_region_out(train, pixels, held, most, _KEYS, fit)
-    model = fit(learn.stratified_sample(train, ["region", "y"], most, _KEYS))
-    scored = stage(folds.unionByName(learn.mining_probability(pixels.where("split = 'test'"), model)).select("split", "region", "p", "mining"), "scored")
+    sizes = {r["region"]: r["count"] for r in pixels.where("split = 'train'").groupBy("region").count().collect()}  # one row a region
+    sample = stage(learn.stratified_sample(train, ["region", "y"], most, _KEYS), "sample")
+    scores = learn.out_of_fold(sample, pixels, learn.region_folds(sizes, folds), fit)
+    model = fit(sample)
+    scored = stage(scores.unionByName(learn.mining_probability(pixels.where("split = 'test'"), model)).select("split", "region", "p", "mining"), "scored")
     threshold = metrics.threshold_for(metrics.pr_curve(scored.where("split = 'train'"), "p", "mining", ["split"]), 0.75, ["split"]).first()["threshold"]
 
     def report(by: list[str]) -> DataFrame:
@@ -717,16 +717,6 @@ def decision_counts(spark, d):
     return spark.read.parquet(f"{d}/reviews.parquet").groupBy("region", F.coalesce("decision", F.lit("unreviewed")).alias("status")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH x AS (SELECT user_id % 20 AS candidate, user_id AS cell FROM events WHERE event_type = 'view' GROUP BY ALL), y AS (SELECT user_id % 23 AS review, user_id AS cell FROM events WHERE event_type = 'click' GROUP BY ALL),
- s AS (SELECT candidate, review, count(*) AS n FROM x JOIN y USING (cell) GROUP BY ALL), cx AS (SELECT candidate, count(*) AS a FROM x GROUP BY 1), cy AS (SELECT review, count(*) AS b FROM y GROUP BY 1)
-SELECT candidate, review, n / (a + b - n) AS iou FROM s JOIN cx USING (candidate) JOIN cy USING (review) WHERE n / (a + b - n) >= 0.05 QUALIFY row_number() OVER (PARTITION BY candidate ORDER BY n / (a + b - n) DESC, review DESC) = 1""")
-def relink_iou(spark, d):
-    """The join alone, over stand-ins at an IoU of 0.05, as in its SQL; relink_outlines is J8 and X15."""
-    e = spark.read.parquet(f"{d}/events.parquet")
-    cell = lambda kind, m, n: e.where(F.col("event_type") == kind).select((F.col("user_id") % m).alias(n), F.col("user_id").alias("r"), F.lit(0).alias("c")).distinct()
-    return records.relink(cell("view", 20, "candidate"), cell("click", 23, "review").withColumn("ord", F.col("review")), 0.05)
-
-
 #: Degrees, some 11 m: cells on which outlines are compared.
 _CELL = 0.0001
 
@@ -745,14 +735,14 @@ _CELL = 0.0001
  size AS (SELECT kind, k, count(*) AS n FROM cell GROUP BY ALL), s AS (SELECT a.k AS candidate, b.k AS review, count(*) AS n FROM cell a JOIN cell b ON a.kind = 'c' AND b.kind = 'r' AND a.r = b.r AND a.c = b.c GROUP BY ALL),
  q AS (SELECT candidate, review, s.n / (a.n + b.n - s.n) AS iou FROM s JOIN size a ON a.kind = 'c' AND a.k = candidate JOIN size b ON b.kind = 'r' AND b.k = review)
 SELECT candidate, review, "reviewId", iou FROM q JOIN (SELECT DISTINCT rev_key, "reviewId" FROM reviews) ON rev_key = review WHERE iou >= 0.3 QUALIFY row_number() OVER (PARTITION BY candidate ORDER BY iou DESC, review DESC) = 1""")
-def relink_outlines(spark, d):
+def relink_iou(spark, d):
     """[J8, X15] each candidate's review of highest IoU, at least 0.3, later reviews (by rev_key) winning ties. Outlines in
     pixels are placed around the candidate's position."""
-    cells = lambda df, key, shape: df.select(key, F.explode(G.cells_of(shape, _CELL)).alias("_k")).select(key, "_k.*").distinct()
+    runs = lambda df, key, shape: df.select(key, F.explode(G.runs_of(shape, _CELL, records.BAND)).alias("_k")).select(key, "_k.*").distinct()
     c = spark.read.parquet(f"{d}/candidates.parquet").select(F.col("cand_key").alias("candidate"), "ringsPx", "lon", "lat").distinct()
     r = spark.read.parquet(f"{d}/reviews.parquet").where("reviewId IS NOT NULL").select(F.col("rev_key").alias("review"), "reviewId", "geometry")
-    reviewed = cells(r, "review", G.geojson_polygons(F.col("geometry"))).withColumn("ord", F.col("review"))
-    links = records.relink(cells(c, "candidate", G.placed_outlines(F.col("ringsPx"), F.col("lon"), F.col("lat"))), reviewed)
+    reviewed = runs(r, "review", G.geojson_polygons(F.col("geometry"))).withColumn("ord", F.col("review"))
+    links = records.relink(runs(c, "candidate", G.placed_outlines(F.col("ringsPx"), F.col("lon"), F.col("lat"))), reviewed)
     return links.join(r.select("review", "reviewId"), "review").select("candidate", "review", "reviewId", "iou")
 
 

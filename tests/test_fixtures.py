@@ -172,10 +172,20 @@ def test_clip_and_simplify():
 
 
 def test_relink(spark):
-    cells = lambda n, name, extra: spark.createDataFrame([(name, *extra, 0, c) for c in n], f"{'candidate' if not extra else 'review'} STRING{', ord INT' if extra else ''}, r INT, c INT")
-    got = records.relink(cells([0, 1, 2, 3], "c", ()), cells([2, 3, 4], "r", (1,))).collect()
+    runs = lambda n, name, extra: spark.createDataFrame([(name, *extra, 0, a, b) for a, b in n], f"{'candidate' if not extra else 'review'} STRING{', ord INT' if extra else ''}, r INT, c0 INT, c1 INT")
+    got = records.relink(runs([(62, 64), (64, 66)], "c", ()), runs([(64, 67)], "r", (1,))).collect()
     assert [(r.review, round(r.iou, 3)) for r in got] == [("r", 0.4)]
-    assert records.relink(cells([0, 1, 2, 3], "c", ()), cells([3, 4, 5], "r", (1,))).count() == 0
+    assert records.relink(runs([(0, 4)], "c", ()), runs([(3, 6)], "r", (1,))).count() == 0
+
+
+def test_draw_of_a_stratum(spark):
+    from landchange.operators.learn import stratified_sample
+
+    rows = spark.range(5000).select("id", F.when(F.col("id") < 4000, "big").when(F.col("id") < 4990, "less").alias("s"))
+    got = stratified_sample(rows, ["s"], 1000, ["id"])
+    assert {r.s: r["count"] for r in got.groupBy("s").count().collect()} == {"big": 1000, "less": 990, None: 10}
+    assert got.distinct().count() == 2000 and got.exceptAll(stratified_sample(rows.repartition(3), ["s"], 1000, ["id"])).count() == 0
+    assert stratified_sample(rows.limit(0), ["s"], 5, ["id"]).count() == 0
 
 
 def test_upsert(spark):
