@@ -38,25 +38,27 @@ def star_components(links: DataFrame) -> DataFrame:
 
 
 def _label_tile(pixels: pd.DataFrame, eight: bool) -> np.ndarray:
-    """The least id of each pixel's patch within a tile, by union-find over neighbouring pixels."""
-    at = {(r, c): i for i, (r, c) in enumerate(zip(pixels["r"], pixels["c"]))}
-    parent = list(range(len(pixels)))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    steps = [(0, 1), (1, 0)] + ([(1, 1), (1, -1)] if eight else [])
-    for (r, c), i in at.items():
-        for dr, dc in steps:
-            if (j := at.get((r + dr, c + dc))) is not None:
-                a, b = find(i), find(j)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-    ids = pixels["id"].to_numpy()
-    return ids[[find(i) for i in range(len(pixels))]]
+    """The least id of each pixel's patch within a tile. Pixels, in order of (r, c), make runs; runs of neighbouring rows that
+    touch are tied, and ties settle by hooking and pointer jumping over arrays."""
+    r, c, ids = pixels["r"].to_numpy(np.int64), pixels["c"].to_numpy(np.int64), pixels["id"].to_numpy()
+    begins = np.append(True, (r[1:] != r[:-1]) | (c[1:] != c[:-1] + 1))
+    first = np.flatnonzero(begins)
+    last = np.append(first[1:], len(r)) - 1
+    # a row's stretch of keys is wide enough that a look to the side stays in it
+    wide, low = int(c.max() - c.min()) + 4, int(c.min()) - 1
+    left, right = r[first] * wide + c[first] - low, r[last] * wide + c[last] - low
+    side = 1 if eight else 0
+    lo, hi = np.searchsorted(right, left - wide - side, "left"), np.searchsorted(left, right - wide + side, "right")
+    n = np.maximum(hi - lo, 0)
+    a = np.repeat(np.arange(len(first)), n)
+    b = np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+    root = np.arange(len(first))
+    while (apart := root[a] != root[b]).any():
+        p, q = root[a[apart]], root[b[apart]]
+        np.minimum.at(root, np.maximum(p, q), np.minimum(p, q))
+        while (up := root[root]).tolist() != root.tolist():
+            root = up
+    return ids[first[root]][np.cumsum(begins) - 1]
 
 
 def patches(flags: DataFrame, by: list[str], connectivity: int = 8, tile: int = TILE) -> DataFrame:

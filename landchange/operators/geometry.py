@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from landchange.functions import crs, geojson
+from landchange.operators.spatial import points_in_areas
+from landchange.session import stage
 
 
 def ring_pairs(ring: Column) -> Column:
@@ -38,12 +40,6 @@ def edges(polygons: DataFrame, keys: list[str], polygon: str) -> DataFrame:
     return polygons.select(*keys, F.explode(segments).alias("_s")).select(*keys, F.col("_s.a.x").alias("x0"), F.col("_s.a.y").alias("y0"), F.col("_s.b.x").alias("x1"), F.col("_s.b.y").alias("y1"))
 
 
-def crosses(x: Column, y: Column) -> Column:
-    """[X2] whether the edge of this row is met by a ray to the right of (x, y)."""
-    x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
-    return ((y0 > y) != (y1 > y)) & (x < (x1 - x0) * (y - y0) / (y1 - y0) + x0)
-
-
 def edge_distance(x: Column, y: Column) -> Column:
     """[X6] distance of (x, y) from this row's edge."""
     x0, y0, dx, dy = F.col("x0"), F.col("y0"), F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
@@ -56,20 +52,32 @@ def edge_distance(x: Column, y: Column) -> Column:
 def zone_of_points(points: DataFrame, keys: list[str], x: str, y: str, polygons: DataFrame, zone: str, polygon: str, buffer: float) -> DataFrame:
     """[J4, J5, X2, X5, X6, X8] (keys, zone, inside, distance, in_buffer) of points in a zone or within `buffer` of it.
 
-    inside is even-odd by the point itself; distance is 0 inside. Edges meet points in rows of cells of the buffer's height, so
-    an edge is only compared with points it can cross or reach.
+    inside is even-odd by the point itself, from the slabs of `points_in_areas`; distance is 0 inside. Outside, edges meet points
+    in square cells of the buffer's size along each edge, so an edge is only compared with points it may reach.
     """
-    step = F.lit(float(max(buffer, 1.0)))
+    step = float(max(buffer, 1.0))
     ed = edges(polygons, [zone], polygon)
-    band = lambda v: F.floor(v / step)
-    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
-    cut = ed.withColumn("_band", F.explode(F.sequence(band(low - buffer), band(high + buffer))))
-    placed = points.select(*keys, F.col(x).alias("_x"), F.col(y).alias("_y"), band(F.col(y)).alias("_band"))
-    joined = placed.join(cut, "_band")
-    flagged = joined.groupBy(*keys, zone).agg(F.count_if(crosses(F.col("_x"), F.col("_y"))).alias("_n"), F.min(edge_distance(F.col("_x"), F.col("_y"))).alias("_d"))
-    inside = F.col("_n") % 2 == 1
-    out = flagged.select(*keys, zone, inside.alias("inside"), F.when(inside, 0.0).otherwise(F.col("_d")).alias("distance"))
-    return out.where(F.col("inside") | (F.col("distance") <= buffer)).withColumn("in_buffer", ~F.col("inside"))
+    at = F.struct(*keys)
+    clean = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(at.alias("k"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    turned = F.col("x0") > F.col("x1")
+    pick = lambda a, b: F.when(turned, F.col(b)).otherwise(F.col(a))
+    upright = F.col("x0") == F.col("x1")
+    sided = ed.where(~upright).select(F.col(zone).alias("region"), F.lit(0).alias("part"), pick("x0", "x1").alias("x0"), pick("y0", "y1").alias("y0"), pick("x1", "x0").alias("x1"), pick("y1", "y0").alias("y1"))
+    inside = points_in_areas(clean, stage(sided, "zone-edges"))
+    # cells that an edge, widened by the buffer, runs through: column by column
+    cell = lambda v: F.floor(v / F.lit(step))
+    low, high, reach = F.least("x0", "x1"), F.greatest("x0", "x1"), F.lit(float(buffer))
+    wide = ed.withColumn("_cx", F.explode(F.sequence(cell(low - reach), cell(high + reach))))
+    along = lambda v: F.col("y0") + (F.col("y1") - F.col("y0")) * F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(v - F.col("x0"), F.col("x1") - F.col("x0"))))
+    left, right = along(F.col("_cx") * step - reach), along((F.col("_cx") + 1) * step + reach)
+    bottom = F.when(upright, F.least("y0", "y1")).otherwise(F.least(left, right))
+    top = F.when(upright, F.greatest("y0", "y1")).otherwise(F.greatest(left, right))
+    cut = wide.withColumn("_cy", F.explode(F.sequence(cell(bottom - reach), cell(top + reach))))
+    placed = clean.withColumn("_cx", cell(F.col("x"))).withColumn("_cy", cell(F.col("y")))
+    near = placed.join(cut, ["_cx", "_cy"]).groupBy("k", zone).agg(F.min(edge_distance(F.col("x"), F.col("y"))).alias("_d")).where(F.col("_d") <= buffer)
+    ring = near.join(inside.select("k", F.col("region").alias(zone)), ["k", zone], "left_anti").select("k", zone, F.lit(False).alias("inside"), F.col("_d").alias("distance"))
+    both = inside.select("k", F.col("region").alias(zone), F.lit(True).alias("inside"), F.lit(0.0).alias("distance")).unionByName(ring)
+    return both.select("k.*", zone, "inside", "distance", (~F.col("inside")).alias("in_buffer"))
 
 
 def geojson_polygons(text: Column) -> Column:

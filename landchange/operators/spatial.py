@@ -163,13 +163,21 @@ def points_in_regions(points: DataFrame, key: str, lon: str, lat: str, regions:
     Null or impossible positions lie nowhere; regions without a polygon hold nothing; a region delivered twice counts once.
     A point on a boundary counts as inside or outside, the same way for every run.
     """
+    # parsed once, read for counts, cuts and search
+    edges = stage(region_edges(regions, region_key, geometry).distinct(), "edges")
+    clean = points.where(valid_position(F.col(lon), F.col(lat)) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(lon).cast("double").alias("x"), F.col(lat).cast("double").alias("y")).distinct()
+    return points_in_areas(clean, edges).select(F.col("k").alias(key), "region")
+
+
+def points_in_areas(points: DataFrame, edges: DataFrame) -> DataFrame:
+    """[X2] distinct (k, region) of planar points (k, x, y), without nulls, and even-odd areas given as edges (region, part, x0,
+    y0, x1, y1), x0 < x1; a point in any part of a region is in it. edges are read several times: written, or cheap to make."""
     spark = points.sparkSession
-    edges = stage(region_edges(regions, region_key, geometry).distinct(), "edges")  # parsed once, read for counts, cuts and search
     # strips of about STRIP_EDGES edges; the cuts are at most MAX_STRIPS numbers
     strips = min(MAX_STRIPS, edges.count() // STRIP_EDGES + 1)
     cuts = np.unique(edges.approxQuantile("x0", [i / strips for i in range(1, strips)], 0.1 / strips)) if strips > 1 else np.array([])
     shared = spark.sparkContext.broadcast(cuts)
-    point_kind, region_kind = points.schema[key].dataType.simpleString(), regions.schema[region_key].dataType.simpleString()
+    point_kind, region_kind = points.schema["k"].dataType.simpleString(), edges.schema["region"].dataType.simpleString()
 
     def strip_of_points(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -183,12 +191,11 @@ def points_in_regions(points: DataFrame, key: str, lon: str, lat: str, regions:
             out["strip"] = (np.concatenate([np.arange(a, b + 1) for a, b in zip(low, high)]) if len(batch) else np.array([])).astype("int32")
             yield out[["strip", "region", "part", "x0", "y0", "x1", "y1"]]
 
-    clean = points.where(valid_position(F.col(lon), F.col(lat)) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(lon).cast("double").alias("x"), F.col(lat).cast("double").alias("y")).distinct()
-    placed = clean.mapInPandas(strip_of_points, f"k {point_kind}, x DOUBLE, y DOUBLE, strip INT")
+    placed = points.select("k", "x", "y").mapInPandas(strip_of_points, f"k {point_kind}, x DOUBLE, y DOUBLE, strip INT") if strips > 1 else points.select("k", "x", "y", F.lit(0).alias("strip"))
     cut_edges = edges.mapInPandas(strips_of_edges, f"strip INT, region {region_kind}, part INT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE")
     # at most MAX_STRIPS rows: how many tasks share a strip's points
     shares = placed.groupBy("strip").agg((F.count("*") / STRIP_POINTS + 1).cast("int").alias("shares"))
-    spread = placed.join(F.broadcast(shares), "strip").withColumn("share", F.pmod(F.xxhash64("k"), F.col("shares")).cast("int")).select("strip", "share", "k", "x", "y")
+    spread = placed.join(F.broadcast(shares), "strip").withColumn("share", F.pmod(F.xxhash64("x", "y"), F.col("shares")).cast("int")).select("strip", "share", "k", "x", "y")
     wanted = shares.select(F.col("strip").alias("s"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("copy"))
     copied = cut_edges.join(wanted, F.col("strip") == F.col("s")).select("s", "copy", "region", "part", "x0", "y0", "x1", "y1")
 
@@ -202,4 +209,4 @@ def points_in_regions(points: DataFrame, key: str, lon: str, lat: str, regions:
         return pd.concat(out) if out else pd.DataFrame({"k": [], "region": []}, dtype=object)  # any type can be made of it
 
     found = spread.groupBy("strip", "share").cogroup(copied.groupBy("s", "copy")).applyInPandas(search, f"k {point_kind}, region {region_kind}")
-    return found.select(F.col("k").alias(key), "region").distinct()
+    return found.distinct()

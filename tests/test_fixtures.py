@@ -133,6 +133,28 @@ def test_components(spark, tile):
     assert components.patches(flags.limit(0), [], 8).count() == 0
 
 
+@pytest.mark.parametrize("eight", [True, False])
+def test_tile_labels_equal_a_flood(eight):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    for share in (0.2, 0.45, 0.6, 1.0):
+        grid = rng.random((40, 37)) < share
+        r, c = np.nonzero(grid)
+        pixels = pd.DataFrame({"r": r + 7, "c": c + 1000, "id": (r + 7) * (1 << 31) + c + 1000})
+        got = dict(zip(zip(r, c), components._label_tile(pixels, eight)))
+        seen = {}
+        for cell in zip(r, c):  # in order of ids, so a patch's first cell has its least id
+            todo = [] if cell in seen else [cell]
+            while todo:
+                x, y = todo.pop()
+                if (x, y) in got and (x, y) not in seen:
+                    seen[x, y] = (cell[0] + 7) * (1 << 31) + cell[1] + 1000
+                    todo += [(x + i, y + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if eight or i == 0 or j == 0]
+        assert got == seen
+
+
 def test_patch_outline_with_hole():
     ring = {(r, c) for r in range(3) for c in range(3)} - {(1, 1)}
     rings = sorted(G.outline_of_cells(ring), key=len)
