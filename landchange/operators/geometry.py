@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from landchange.functions import crs, geojson
+from landchange.operators import overlap
 from landchange.operators.spatial import points_in_areas
 from landchange.session import stage
 
@@ -171,6 +172,66 @@ def area_gate(areas: DataFrame, measured: str, stated: str, tolerance: float = 0
     return areas.withColumn("off", off).where(F.col("off") > tolerance)
 
 
+def outline_of(text: Column) -> Column:
+    """Bounding edges (four numbers each, x0 < x1) of GeoJSON texts, as an Arrow kernel; NULL where a text has no polygon."""
+
+    @F.pandas_udf("ARRAY<DOUBLE>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([e.ravel() if len(e := overlap.outline_edges(t)) else None for t in texts], dtype=object)
+
+    return run(text)
+
+
+def self_crossing(text: Column) -> Column:
+    """[X4, X11, D4] whether the boundary of a GeoJSON polygon crosses itself; NULL where a text has no polygon. Areas are filled
+    even-odd everywhere, so such a boundary needs no repair to be measured, only to be told."""
+
+    @F.pandas_udf("BOOLEAN")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([overlap.crosses_itself(e) if len(e := overlap.all_edges(t)) else None for t in texts], dtype=object)
+
+    return run(text)
+
+
+def in_box(west: Column, south: Column, east: Column, north: Column) -> tuple[Column, Column]:
+    """[X9] the part of this row's edge (x0, y0, x1, y1) inside a box, as the share of its length at which it begins and ends;
+    begin >= end where nothing is inside."""
+    begin, end = F.lit(0.0), F.lit(1.0)
+    for a, b, low, high in (("x0", "x1", west, east), ("y0", "y1", south, north)):
+        d = F.col(b) - F.col(a)
+        t, u = F.try_divide(low - F.col(a), d), F.try_divide(high - F.col(a), d)
+        out = (F.col(a) < low) | (F.col(a) > high)
+        begin = F.greatest(begin, F.when(d == 0, F.when(out, 2.0).otherwise(0.0)).otherwise(F.least(t, u)))
+        end = F.least(end, F.when(d == 0, 1.0).otherwise(F.greatest(t, u)))
+    return begin, end
+
+
+def corrected(corners: DataFrame, corrections: DataFrame) -> DataFrame:
+    """[X12] corners (area_id, n, lon_dms, lat_dms) with a correction's longitude or latitude in place of their own, by corner
+    number; an axis without correction stays."""
+    fixes = corrections.select("area_id", "n", "longitude", "latitude")
+    joined = corners.join(fixes, ["area_id", "n"], "left")
+    return joined.select("area_id", "n", F.coalesce("longitude", "lon_dms").alias("lon_dms"), F.coalesce("latitude", "lat_dms").alias("lat_dms"))
+
+
+def box_text(west: Column, south: Column, east: Column, north: Column) -> Column:
+    """A box as a GeoJSON polygon."""
+    p = lambda x, y: F.array(x, y)
+    return F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(F.array(p(west, south), p(east, south), p(east, north), p(west, north), p(west, south))).alias("coordinates")))
+
+
+def areas_in_boxes(areas: DataFrame, key: str, boxes: DataFrame, name: str, cell: float = 1.0) -> DataFrame:
+    """[J6, J7, U6, X7] (name, key, area_a, area_b, area_both) of areas (key, edges, x0, y0, x1, y1) and boxes (name, west, south,
+    east, north) that have some area in common, with the area of each and what they share; unions and differences follow.
+    Bounds meet in cells of `cell` first, what is left is measured exactly."""
+    cells = lambda df, w, s, e, n: df.withColumn("_cx", F.explode(F.sequence(F.floor(F.col(w) / cell), F.floor(F.col(e) / cell)))).withColumn("_cy", F.explode(F.sequence(F.floor(F.col(s) / cell), F.floor(F.col(n) / cell))))
+    p, q = cells(areas.drop("edges"), "x0", "y0", "x1", "y1").alias("p"), cells(boxes, "west", "south", "east", "north").alias("q")
+    meet = (F.col("p._cx") == F.col("q._cx")) & (F.col("p._cy") == F.col("q._cy")) & (F.col("x0") < F.col("east")) & (F.col("x1") > F.col("west")) & (F.col("y0") < F.col("north")) & (F.col("y1") > F.col("south"))
+    pairs = p.join(q, meet).select(name, key, "west", "south", "east", "north").distinct().join(areas.select(key, F.col("edges").alias("_a")), key)
+    boxed = pairs.withColumn("_b", F.array("west", "south", "east", "south", "west", "north", "east", "north"))
+    return overlap.common_areas(boxed, "_a", "_b").where("area_both > 0").select(name, key, "area_a", "area_b", "area_both")
+
+
 def svg_path(polygon: Column) -> Column:
     """[K14] M x,y L ... Z of every ring, one decimal."""
     def point(p: Column) -> Column:

@@ -77,3 +77,43 @@ def common_areas(pairs: DataFrame, a: str, b: str) -> DataFrame:
                 yield batch.assign(area_a=found[:, 0], area_b=found[:, 1], area_both=found[:, 2])
 
     return pairs.mapInPandas(run, schema)
+
+
+def union_area(parts: list[np.ndarray]) -> float:
+    """[U6, A17] area covered by any of several even-odd outlines."""
+    parts = [p for p in parts if len(p)]
+    if not parts:
+        return 0.0
+    edges = np.vstack(parts)
+    edges = edges - np.array([edges[:, 0].min(), edges[:, 1].min()] * 2)
+    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    slope = (edges[:, 3] - edges[:, 1]) / (edges[:, 2] - edges[:, 0])
+    base = edges[:, 1] - slope * edges[:, 0]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        x = (base[None, :] - base[:, None]) / (slope[:, None] - slope[None, :])
+    xs = np.unique(np.concatenate([edges[:, 0], edges[:, 2], x[(x > np.maximum(edges[:, None, 0], edges[None, :, 0])) & (x < np.minimum(edges[:, None, 2], edges[None, :, 2]))]]))
+    total = 0.0
+    for left, right in zip(xs[:-1], xs[1:]):
+        over = (edges[:, 0] <= left) & (edges[:, 2] >= right)
+        y = base[over] + slope[over] * (left + right) / 2
+        spans = []
+        for part in np.unique(owner[over]):
+            own = np.sort(y[owner[over] == part])
+            spans += list(zip(own[::2], own[1::2]))
+        reach = -np.inf
+        for low, high in sorted(spans):
+            total += max(0.0, high - max(low, reach)) * (right - left)
+            reach = max(reach, high)
+    return total
+
+
+def crosses_itself(edges: np.ndarray) -> bool:
+    """[X4, X11, D4] whether two edges of an outline meet in a point inside both."""
+    d = edges[:, 2:] - edges[:, :2]
+    for i in range(0, len(edges), 256):
+        a, da = edges[i : i + 256, None, :2], d[i : i + 256, None]
+        side = lambda p: da[..., 0] * (p[None, :, 1] - a[..., 1]) - da[..., 1] * (p[None, :, 0] - a[..., 0])  # noqa: E731,B023
+        own = lambda p, q: d[None, :, 0] * (p[..., 1] - edges[None, :, 1]) - d[None, :, 1] * (p[..., 0] - edges[None, :, 0])
+        if ((side(edges[:, :2]) * side(edges[:, 2:]) < 0) & (own(a, None) * own(edges[i : i + 256, None, 2:], None) < 0)).any():
+            return True
+    return False

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landchange.functions import crs, pixels as P, text
-from landchange.operators import change, clouds, components, focal, geometry as G, learn, metrics, mosaic, records
+from landchange.operators import change, clouds, components, focal, geometry as G, learn, metrics, mosaic, records, regrid
 from landchange.plans import layers as L
 from landchange.session import shared_dir, stage
 
@@ -409,19 +409,19 @@ def datum_shift(spark, d):
 
 @query(f"WITH {L.LATTICE} SELECT r // 6 AS tr, c // 6 AS tc, avg(elevation) AS elevation FROM lat WHERE r % 6 = 3 AND c % 6 = 3 GROUP BY ALL")
 def nearest_resample(spark, d):
-    """[G8, S12] a cell's value is that of the source cell its centre falls in"""
+    """[S4, G8, S12] a cell's value is that of the source cell its centre falls in"""
     lat = L.lattice(spark, d)
-    coarse = lat.select(F.floor(F.col("r") / 6).cast("int").alias("tr"), F.floor(F.col("c") / 6).cast("int").alias("tc")).distinct()
-    at = coarse.withColumns({"r": (F.col("tr") * 6 + 3), "c": (F.col("tc") * 6 + 3)})
-    return at.join(lat, ["r", "c"]).select("tr", "tc", "elevation")
+    coarse = lat.select(F.floor((F.col("r") - 3) / 6).cast("int").alias("r"), F.floor((F.col("c") - 3) / 6).cast("int").alias("c")).where("r >= 0 AND c >= 0").distinct()
+    at = regrid.nearest(regrid.centres(coarse, (0.0, 0.0, 6.0)), lat, (0.0, 0.0, 1.0), [], ["elevation"])
+    return at.where("elevation IS NOT NULL").select(F.col("r").alias("tr"), F.col("c").alias("tc"), "elevation")
 
 
 @query(f"""WITH {L.LATTICE}, k AS (SELECT r // 5 AS tr, c // 5 AS tc, loss, count(*) AS n FROM lat GROUP BY ALL)
 SELECT tr, tc, loss FROM k QUALIFY row_number() OVER (PARTITION BY tr, tc ORDER BY n DESC, loss) = 1""")
 def mode_resample(spark, d):
     """[S8, G7, G8] the most frequent value of each block, the least of equals"""
-    blocks = L.lattice(spark, d).groupBy(F.floor(F.col("r") / 5).cast("int").alias("tr"), F.floor(F.col("c") / 5).cast("int").alias("tc"), "loss").agg(F.count("*").alias("n"))
-    return blocks.groupBy("tr", "tc").agg(F.max_by("loss", F.struct("n", -F.col("loss"))).alias("loss"))
+    blocks = regrid.mode(L.lattice(spark, d), (0.0, 0.0, 1.0), (0.0, 0.0, 5.0), [], "loss")
+    return blocks.select(F.col("r").alias("tr"), F.col("c").alias("tc"), "loss")
 
 
 @query(f"""WITH {L.LATTICE} SELECT a.r, a.c, round(avg(b.elevation), 9) AS elevation FROM lat a JOIN lat b ON b.r IN (a.r, a.r + 1) AND b.c IN (a.c, a.c + 1)
@@ -429,9 +429,29 @@ def mode_resample(spark, d):
 def bilinear_resample(spark, d):
     """[G8] half a cell to the right and down: four neighbours of equal weight"""
     lat = L.lattice(spark, d).select("r", "c", "elevation")
-    near = lat.withColumn("o", F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1)))))
-    moved = near.select((F.col("r") - F.col("o.a")).alias("r"), (F.col("c") - F.col("o.b")).alias("c"), F.col("elevation") * 0.25)
-    return moved.toDF("r", "c", "v").where("r BETWEEN 0 AND 48 AND c BETWEEN 0 AND 48").groupBy("r", "c").agg(F.round(F.sum("v"), 9).alias("elevation"))
+    targets = regrid.centres(lat.select("r", "c").where("r < 49 AND c < 49"), (0.5, -0.5, 1.0))
+    return regrid.bilinear(targets, lat, (0.0, 0.0, 1.0), [], "elevation").select("r", "c", F.round("elevation", 9).alias("elevation"))
+
+
+_FINE = 30.0 / 20.0  # target pixels of 30 m on a lattice of 20 m, shifted by (5, 10) m
+
+
+@query(f"""WITH {L.LATTICE}, t AS (SELECT r, c, 0.25 + (c + 0.5) * {_FINE} - 0.5 AS fc, 0.5 + (r + 0.5) * {_FINE} - 0.5 AS fr FROM lat WHERE r < 32 AND c < 32),
+ k AS (SELECT t.r, t.c, lat.elevation AS v, (1 - abs(t.fr - lat.r)) * (1 - abs(t.fc - lat.c)) AS w FROM t JOIN lat ON abs(t.fr - lat.r) < 1 AND abs(t.fc - lat.c) < 1)
+SELECT r, c, round(sum(v * w) / sum(w), 9) AS elevation FROM k GROUP BY r, c""")
+def regrid_bilinear(spark, d):
+    """[S4, G8] onto pixels of another size and origin"""
+    lat = L.lattice(spark, d).select("r", "c", "elevation")
+    targets = regrid.centres(lat.select("r", "c").where("r < 32 AND c < 32"), (5.0, -10.0, 30.0))
+    return regrid.bilinear(targets, lat, (0.0, 0.0, 20.0), [], "elevation").where("elevation IS NOT NULL").select("r", "c", F.round("elevation", 9).alias("elevation"))
+
+
+@query("""SELECT CAST(l_partkey % 50 AS INTEGER) AS r, CAST(l_suppkey % 50 AS INTEGER) AS c, max(l_quantity) AS height, CASE WHEN max(l_quantity * 2.5::DOUBLE) > 100 THEN 0 ELSE max(l_quantity * 2.5::DOUBLE) END AS water
+FROM lineitem GROUP BY 1, 2""")
+def static_layers(spark, d):
+    """[S7, S8, S9] tiles that overlap, a line number each, merged by their highest value"""
+    t = spark.read.parquet(f"{d}/lineitem.parquet").select("l_linenumber", (F.col("l_partkey") % 50).cast("int").alias("r"), (F.col("l_suppkey") % 50).cast("int").alias("c"), F.col("l_quantity").alias("height"), (F.col("l_quantity") * 2.5).alias("water"))
+    return regrid.max_merge(t, ["r", "c"], ["height"]).join(regrid.max_merge(t, ["r", "c"], ["water"], 100.0), ["r", "c"])
 
 
 # ---- focal
