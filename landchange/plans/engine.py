@@ -400,13 +400,6 @@ def dms_parse(spark, d):
     return L.sites(spark, d).select("site", crs.dms(t).alias("lon"))
 
 
-@query()
-def datum_shift(spark, d):
-    """[G9]"""
-    lon, lat = crs.luzon_to_wgs84(F.col("lon"), F.col("lat"))
-    return L.sites(spark, d).select("site", F.round(lon, 9).alias("lon"), F.round(lat, 9).alias("lat"))
-
-
 @query(f"WITH {L.LATTICE} SELECT r // 6 AS tr, c // 6 AS tc, avg(elevation) AS elevation FROM lat WHERE r % 6 = 3 AND c % 6 = 3 GROUP BY ALL")
 def nearest_resample(spark, d):
     """[S4, G8, S12] a cell's value is that of the source cell its centre falls in"""
