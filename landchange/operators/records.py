@@ -88,6 +88,64 @@ def require_none(violations: DataFrame, what: str) -> None:
         raise ValueError(f"{what}: {[r.asDict() for r in bad]}")
 
 
+def require_some(rows: DataFrame, what: str) -> DataFrame:
+    """[D3] the rows; fails where there are none."""
+    if not rows.limit(1).count():
+        raise ValueError(f"no {what}")
+    return rows
+
+
+def require_known(names: list[str], known: DataFrame, key: str) -> None:
+    """[D6] fails, naming them, where asked-for names aren't in a table."""
+    have = {r[0] for r in known.where(F.col(key).isin(names)).select(key).distinct().collect()}  # at most as many as were asked for
+    if missing := sorted(set(names) - have):
+        raise ValueError(f"unknown {key}: {', '.join(missing)}")
+
+
+def exactly_one(rows: DataFrame, what: str) -> dict:
+    """[S15] the only row; fails where there is none or another."""
+    found = rows.limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"{what}: {'none' if not found else 'more than one'}")
+    return found[0].asDict()
+
+
+def protect(documents: DataFrame, protected: DataFrame, key: str) -> DataFrame:
+    """[K3] documents with protectedAreas recomputed, from (key, sizePx, protectedAreas); all else, generatedAt too, stays. A
+    document without a row keeps its own. Check `resized` first."""
+    fresh = protected.select(F.col(key).alias("_key"), F.col("protectedAreas").alias("_fresh"), F.lit(True).alias("_there"))
+    joined = documents.join(fresh, documents[key] == F.col("_key"), "left")
+    return joined.withColumn("protectedAreas", F.when(F.col("_there"), F.col("_fresh")).otherwise(F.col("protectedAreas"))).select(documents.columns)
+
+
+def resized(documents: DataFrame, protected: DataFrame, key: str) -> DataFrame:
+    """[D5] keys whose grid no longer has the document's size: a violated constraint."""
+    new = protected.select(key, F.col("sizePx").alias("_size"))
+    return documents.select(key, "sizePx").join(new, key).where(~F.col("sizePx").eqNullSafe(F.col("_size"))).select(key)
+
+
+def save_reviews(store: DataFrame, changes: DataFrame) -> DataFrame:
+    """[R1, R2] the store after the changes, by reviewId. Columns: reviewId, rev_key (order) and the rest, decision, reason and note
+    among them. A reason is kept with `reject` only, by default `other`; notes end after 2000 characters; a null decision
+    deletes. A change without reviewId replaces the row of its runId and candidateId and keeps that row's reviewId."""
+    known = store.where("reviewId IS NOT NULL AND runId IS NOT NULL AND candidateId IS NOT NULL").groupBy("runId", "candidateId").agg(F.min_by("reviewId", "rev_key").alias("_old"))
+    named = changes.join(known, ["runId", "candidateId"], "left").withColumn("reviewId", F.coalesce("reviewId", "_old")).where("reviewId IS NOT NULL").select(changes.columns)
+    clean = named.withColumns({"reason": F.when(F.col("decision") == "reject", F.coalesce("reason", F.lit("other"))), "note": F.left("note", F.lit(2000))})
+    return upsert(store.where("reviewId IS NOT NULL"), clean, "reviewId", "rev_key", F.col("decision").isNull())
+
+
+def numbered_sources(listed: DataFrame, page: str, source: str) -> DataFrame:
+    """[J15] (page, source, number): a page's different sources, numbered from 1 in order of their text."""
+    from pyspark.sql.window import Window
+
+    return listed.where(F.col(source).isNotNull()).select(page, source).distinct().withColumn("number", F.row_number().over(Window.partitionBy(page).orderBy(source)))
+
+
+def cited_numbers(citations: DataFrame, numbered: DataFrame, page: str, source: str) -> DataFrame:
+    """[J15, O8] (page, numbers): the different numbers of a page's citations, ascending."""
+    return citations.join(numbered, [page, source]).groupBy(page).agg(F.array_sort(F.collect_set("number")).alias("numbers"))
+
+
 def retitle(documents: DataFrame, titles: dict[str, str]) -> DataFrame:
     """[K2] comparisons' titles by id; other fields, generatedAt too, stay."""
     names = F.create_map(*(F.lit(x) for kv in titles.items() for x in kv)) if titles else F.create_map().cast("map<string,string>")
