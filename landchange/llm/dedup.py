@@ -1,10 +1,10 @@
 """New batches against all that was accepted before, without reading the history again.
 
-The history is three bucketed tables of what was accepted: hashes of exact keys, hashes of the parts an outline covers (grid
-cells at a level that follows its size, as paragraphs are for a text), and the outlines. A batch's rows look their exact
-hashes up in the first and their outlines' hashes in the last (bucket-local joins: only the batch moves) and their parts in the
-second; what two outlines share of the parts they both cover bounds their common area, and where that bound is large enough the
-outlines are compared exactly. Rows that repeat nothing are accepted and their hashes are appended.
+The history is two bucketed tables of what was accepted: hashes of exact keys, of ids and of whole outlines, and hashes of the
+parts an outline covers (grid cells at a level that follows its size, as paragraphs are for a text). A batch's rows look their
+exact hashes up in the first and their parts in the second (bucket-local joins: only the batch moves); what two outlines share
+of the parts they both cover bounds their common area, and where that bound is large enough the outlines are compared exactly.
+Rows that repeat nothing are accepted and their hashes are appended.
 
 Inside a batch only outlines that differ are compared, and of a crowded cell only the first few that are still open: what these
 repeat is settled, the accepted ones are looked up by the rest, and so on. Equal rows, however many, never meet in pairs.
@@ -16,7 +16,6 @@ import hashlib
 import json
 import uuid
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -126,9 +125,14 @@ def read_reviews(reviews: DataFrame, least: float = SAME_AREA) -> DataFrame:
     return source.mapInArrow(read, f"rev_key BIGINT, batch INT, id_key STRING, {OUTLINE_DDL}, edges ARRAY<DOUBLE>, cells {CELLS_DDL}")
 
 
-def _covering(asking: DataFrame, held: DataFrame, extra: list[str], least: float) -> DataFrame:
-    """(a, b, *extra) of outlines whose shared cells may hold enough common area: the sum, over the cells that both cover, of
-    what their boxes have in common there is at least what the common area must be."""
+def _same(a: str, b: str) -> Column:
+    """Equal texts, in a form that doesn't become a join key: as a further key it would make a bucketed side move."""
+    return (F.instr(F.col(a), F.col(b)) == 1) & (F.instr(F.col(b), F.col(a)) == 1)
+
+
+def _covering(asking: DataFrame, held: DataFrame, first: str, least: float) -> DataFrame:
+    """(a, b, at, first) of outlines whose shared cells, of which `at` is one, may hold enough common area: the sum, over the
+    cells that both cover, of what their boxes have in common there is at least what the common area must be."""
     p, q = asking.alias("p"), held.alias("q")
     side = F.pow(F.lit(2.0), F.col("p.level"))
     width = F.least("p.x1", "q.x1", (F.col("p.cx") + 1) * side) - F.greatest("p.x0", "q.x0", F.col("p.cx") * side)
@@ -138,27 +142,31 @@ def _covering(asking: DataFrame, held: DataFrame, extra: list[str], least: float
     match = (F.col("p.cell") == F.col("q.cell")) & (F.abs(F.col("p.year") - F.col("q.year")) < 1) & (F.col("p.cls") != F.col("q.cls")) & alike
     shared = F.sum(F.greatest(width, F.lit(0.0)) * F.greatest(height, F.lit(0.0))).alias("_shared")
     need = F.max((F.col("p.area") + F.col("q.area")) * (least / (1 + least) - 1e-9)).alias("_need")
-    joined = p.join(q, match).groupBy(F.col("p.cls").alias("a"), F.col("q.cls").alias("b")).agg(shared, need, *(F.min(f"q.{c}").alias(c) for c in extra))
+    joined = p.join(q, match).groupBy(F.col("p.cls").alias("a"), F.col("q.cls").alias("b")).agg(shared, need, F.min("q.cell").alias("at"), F.min(f"q.{first}").alias("first"))
     return joined.where("_shared >= _need").drop("_shared", "_need")
 
 
-def _alike(pairs: DataFrame, edges_a: DataFrame, edges_b: DataFrame, least: float) -> DataFrame:
-    """Of pairs (a, b, ...) those whose outlines' common area is at least `least` of their joint area."""
-    keep = pairs.columns
-    # the second side's outlines stay where they are (bucketed, in a history), the few candidate pairs come to them
-    joined = pairs.join(edges_b.select(F.col("cls").alias("b"), F.col("edges").alias("_edges_b")), "b").join(edges_a.select(F.col("cls").alias("a"), F.col("edges").alias("_edges_a")), "a")
-    measured = common_areas(joined, "_edges_a", "_edges_b")
+def _alike(pairs: DataFrame, own: DataFrame, least: float) -> DataFrame:
+    """Of pairs (a, b, ..., edges_b) those whose outlines' common area is at least `least` of their joint area."""
+    keep = [c for c in pairs.columns if c != "edges_b"]
+    measured = common_areas(pairs.join(own.select(F.col("cls").alias("a"), F.col("edges").alias("edges_a")), "a"), "edges_a", "edges_b")
     return measured.where(F.col("area_both") >= least * (F.col("area_a") + F.col("area_b") - F.col("area_both"))).select(keep)
 
 
-def _cells_of(outlines: DataFrame, own_only: bool = False) -> DataFrame:
-    rows = outlines.select("cls", "year", *BOX, *(c for c in ("first", "m") if c in outlines.columns), F.explode("cells").alias("_c")).select("*", "_c.*").drop("_c")
+def _cells_of(outlines: DataFrame, *more: str, own_only: bool = False) -> DataFrame:
+    rows = outlines.select("cls", "year", *BOX, *more, F.explode("cells").alias("_c")).select("*", "_c.*").drop("_c")
     return (rows.where("own") if own_only else rows).drop("own")
 
 
+def _keys_of(rows: DataFrame) -> DataFrame:
+    """(rev_key, hash, key) of the exact keys of rows: their id and their outline."""
+    key = F.explode(F.array_compact(F.array(F.concat(F.lit("i:"), "id_key"), F.concat(F.lit("o:"), "cls"))))
+    return rows.select("rev_key", key.alias("key")).withColumn("hash", F.xxhash64("key"))
+
+
 def settle(rows: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
     """Rows (rev_key, id_key, cls) one by one, least rev_key first: adds `first`, the first accepted row that each repeats, null
-    for rows that are accepted. near: pairs (a, b) of outlines that count as one."""
+    where it is accepted. near: pairs (a, b) of outlines that count as one."""
     around: dict[str, list[str]] = {}
     for a, b in zip(near["a"], near["b"]):
         around.setdefault(a, []).append(b)
@@ -177,7 +185,7 @@ def settle(rows: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
                 by_id[rid] = key
             if cls is not None:
                 by_cls[cls] = key
-    return pd.DataFrame({"rev_key": rows["rev_key"].astype("int64"), "first": pd.array(first, "Int64")})
+    return pd.DataFrame({"rev_key": rows["rev_key"].astype("int64"), "id_key": rows["id_key"], "cls": rows["cls"], "first": pd.array(first, "Int64")})
 
 
 class History:
@@ -188,9 +196,8 @@ class History:
     """
 
     TABLES = {
-        "ids": ("id_hash BIGINT, id_key STRING, first BIGINT", "id_hash"),
-        "cells": (f"cell BIGINT, level INT, cx BIGINT, cy BIGINT, {OUTLINE_DDL}, first BIGINT", "cell"),
-        "outlines": ("cls STRING, edges ARRAY<DOUBLE>, first BIGINT", "cls"),
+        "keys": ("hash BIGINT, key STRING, first BIGINT", "hash"),
+        "cells": (f"cell BIGINT, level INT, cx BIGINT, cy BIGINT, {OUTLINE_DDL}, edges ARRAY<DOUBLE>, first BIGINT", "cell"),
     }
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None, least: float | None = None):
@@ -244,68 +251,76 @@ class History:
         by = self.TABLES[table][1]
         rows.repartition(self.buckets, by).select(self.spark.table(self.names[table]).columns).write.insertInto(self.names[table])
 
-    def _lookup(self, rows: DataFrame, own: DataFrame, ids: DataFrame, cells: DataFrame, outlines: DataFrame) -> DataFrame:
-        """(rev_key, first) of the rows that repeat one of what was accepted, given as the history's three tables are.
-        Inner joins only: rows without an id or outline, however many, go nowhere."""
-        asked = rows.where("id_key IS NOT NULL").select("rev_key", "id_key", F.xxhash64("id_key").alias("id_hash"))
-        held = ids.select(F.col("id_hash").alias("_h"), F.col("id_key").alias("_id"), "first")
-        hits = asked.join(held, (F.col("id_hash") == F.col("_h")) & F.col("id_key").eqNullSafe(F.col("_id"))).select("rev_key", "first")
-        near = _alike(_covering(_cells_of(own), cells, ["first"], self.least), own, outlines, self.least).select(F.col("a").alias("cls"), "first")
-        equal = own.select("cls").join(outlines.select("cls", "first"), "cls")
-        by_outline = near.union(equal).groupBy("cls").agg(F.min("first").alias("first"))
+    def _lookup(self, rows: DataFrame, own: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+        """(rev_key, first) of the rows that repeat one of what was accepted, given as the history's tables are. Inner joins only:
+        rows without an id or outline, however many, go nowhere; the tables stay where they are, what is asked comes to them."""
+        held = tables["keys"].select(F.col("hash").alias("_h"), F.col("key").alias("_k"), "first")
+        hits = _keys_of(rows).join(held, (F.col("hash") == F.col("_h")) & _same("key", "_k")).select("rev_key", "first")
+        pairs = _covering(_cells_of(own), tables["cells"], "first", self.least)
+        edges = tables["cells"].select(F.col("cell").alias("_cell"), F.col("cls").alias("_cls"), F.col("edges").alias("edges_b"))
+        near = _alike(pairs.join(edges, (F.col("at") == F.col("_cell")) & _same("b", "_cls")).drop("_cell", "_cls"), own, self.least)
+        by_outline = near.groupBy(F.col("a").alias("cls")).agg(F.min("first").alias("first"))
         return hits.union(rows.select("rev_key", "cls").join(by_outline, "cls").select("rev_key", "first")).groupBy("rev_key").agg(F.min("first").alias("first"))
 
     def _as_tables(self, accepted: DataFrame, own: DataFrame) -> dict[str, DataFrame]:
-        """Accepted rows (rev_key, id_key, cls) in the form of the three tables."""
-        ids = accepted.where("id_key IS NOT NULL").groupBy("id_key").agg(F.min("rev_key").alias("first")).withColumn("id_hash", F.xxhash64("id_key"))
+        """Accepted rows (rev_key, id_key, cls) in the form of the tables."""
+        keys = _keys_of(accepted).groupBy("hash", "key").agg(F.min("rev_key").alias("first"))
         fresh = own.join(accepted.where("cls IS NOT NULL").groupBy("cls").agg(F.min("rev_key").alias("first")), "cls")
-        return {"ids": ids, "cells": _cells_of(fresh, own_only=True), "outlines": fresh.select("cls", "edges", "first")}
+        return {"keys": keys, "cells": _cells_of(fresh, "first", "edges", own_only=True)}
 
     def _conflicts(self, open_rows: DataFrame, own: DataFrame) -> tuple[DataFrame, bool]:
         """Pairs (a, b) of open outlines alike, b with the earlier first row, among the first of each cell; with a row (a, null)
         for outlines a that have more before them in a cell than were looked at. And whether there is such a row."""
         classes = open_rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("rev_key").alias("m"))
         mine = own.join(classes, "cls")
-        kept, asking = _cells_of(mine, own_only=True), _cells_of(mine)
-        crowded = kept.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > FIRST_OF_CELL).limit(1).count() > 0
-        seen, first_ones = asking, kept
-        if crowded:
-            # a cell's first ones; the group limit works before the rows move, so a hot cell is no hot task
-            ranked = kept.withColumn("_at", F.row_number().over(Window.partitionBy("cell").orderBy("m", "cls"))).where(F.col("_at") <= FIRST_OF_CELL + 1)
-            bars = ranked.where(F.col("_at") == FIRST_OF_CELL + 1).select("cell", F.col("m").alias("_bar"))
-            behind = stage(asking.join(bars, "cell").where("m > _bar").select("cls").distinct(), "behind")
-            seen, first_ones = asking.join(behind, "cls", "left_anti"), ranked.where(F.col("_at") <= FIRST_OF_CELL).drop("_at")
-        pairs = _covering(seen, first_ones.withColumnRenamed("m", "first"), ["first"], self.least)
-        earlier = pairs.join(classes.select(F.col("cls").alias("a"), "m"), "a").where("first < m").select("a", "b")
-        near = _alike(earlier, own, own, self.least)
-        return stage(near.union(behind.select("cls", F.lit(None).cast("string"))) if crowded else near, "near"), crowded
+        kept, asking = _cells_of(mine, "m", own_only=True), _cells_of(mine, "m")
+
+        def alike(asked: DataFrame, first_ones: DataFrame) -> DataFrame:
+            pairs = _covering(asked, first_ones, "m", self.least)
+            earlier = pairs.join(classes.select(F.col("cls").alias("a"), "m"), "a").where("first < m").select("a", "b")
+            return _alike(earlier.join(own.select(F.col("cls").alias("b"), F.col("edges").alias("edges_b")), "b"), own, self.least)
+
+        # a cell's first ones; the group limit works before the rows move, so a hot cell is no hot task
+        ranked = kept.withColumn("_at", F.row_number().over(Window.partitionBy("cell").orderBy("m", "cls"))).where(F.col("_at") <= FIRST_OF_CELL + 1)
+        bars = ranked.where(F.col("_at") == FIRST_OF_CELL + 1).select("cell", F.col("m").alias("_bar"))
+        behind = asking.join(bars, "cell").where("m > _bar").select(F.col("cls").alias("a"), F.lit(None).cast("string").alias("b")).distinct()
+        if self._larger(open_rows, FIRST_OF_CELL):
+            behind = stage(behind, "behind")
+            if self._larger(behind, 0):
+                seen = asking.join(behind.select(F.col("a").alias("cls")), "cls", "left_anti")
+                return stage(alike(seen, ranked.where(F.col("_at") <= FIRST_OF_CELL).drop("_at")).select("a", "b").union(behind), "near"), True
+        return stage(alike(asking, kept).select("a", "b"), "near"), False
+
+    @staticmethod
+    def _larger(rows: DataFrame, than: int) -> bool:
+        """Whether a written frame has more rows than that."""
+        return rows.limit(than + 1).count() > than
 
     def check(self, batch: DataFrame) -> DataFrame:
-        """(rev_key_a, rev_key_b) of a read batch (`read_reviews`, written or cheap to read again): repeats b and the first
-        accepted row a they repeat. Accepts the others. Rows are taken in the order of rev_key, which must be unique."""
+        """(rev_key_a, rev_key_b) of a batch as `read_reviews` and `with_heads` give it, written or cheap to read again: repeats b
+        and the first accepted row a they repeat. Accepts the others. Rows are taken in the order of rev_key, which must be unique."""
         rows = batch.select("rev_key", "id_key", "cls")
-        heads = batch.where("cls IS NOT NULL").groupBy("cls").agg(F.min("rev_key").alias("rev_key"))
-        own = stage(batch.join(heads.select("rev_key"), "rev_key").select("cls", "year", *BOX, "edges", "cells"), "outlines")
-        past = {t: self.spark.table(n) for t, n in self.names.items()}
+        own = batch.where("head").select("cls", "year", *BOX, "edges", "cells")
         left, accepted, beaten, repeats = rows, [], [], [rows.select("rev_key", F.col("rev_key").alias("first")).where("false")]
         if not self.empty:
-            hits = self._lookup(rows, own, past["ids"], past["cells"], past["outlines"])
+            hits = self._lookup(rows, own, {t: self.spark.table(n) for t, n in self.names.items()})
             known = stage(rows.join(hits, "rev_key", "left"), "known")
             repeats = [known.where("first IS NOT NULL").select("rev_key", "first")]
             left = known.where("first IS NULL").drop("first")
         one = lambda df: df.withColumn("_all", F.lit(0)).groupBy("_all")
         while True:
             near, crowded = self._conflicts(left, own)
-            twice = lambda c: left.where(f"{c} IS NOT NULL").groupBy(c).agg(F.count("*").alias("_n")).where("_n > 1").select(c)
-            tied = near.select(F.explode(F.array("a", "b")).alias("cls")).where("cls IS NOT NULL").union(twice("cls")).distinct().withColumn("_tied", F.lit(True))
-            marked = left.join(tied, "cls", "left").join(twice("id_key").withColumn("_same", F.lit(True)), "id_key", "left")
-            marked = stage(marked.select("rev_key", "id_key", "cls", (F.col("_tied").isNotNull() | F.col("_same").isNotNull()).alias("tied")), "marked")
-            accepted.append(marked.where("NOT tied").drop("tied"))
-            left = marked.where("tied").drop("tied")
-            if not crowded and left.count() <= LOCAL_ROWS:
-                done = stage(one(left).cogroup(one(near)).applyInPandas(lambda r, n: settle(r, n), "rev_key BIGINT, first BIGINT"), "settled")
-                repeats.append(done.where("first IS NOT NULL"))
-                accepted.append(left.join(done.where("first IS NULL").select("rev_key"), "rev_key"))
+            if not crowded and self._larger(left, LOCAL_ROWS):  # rows that meet no other are accepted, the others go on
+                twice = lambda c: left.where(f"{c} IS NOT NULL").groupBy(c).agg(F.count("*").alias("_n")).where("_n > 1").select(c)
+                tied = near.select(F.explode(F.array("a", "b")).alias("cls")).union(twice("cls")).distinct().withColumn("_tied", F.lit(True))
+                marked = left.join(tied, "cls", "left").join(twice("id_key").withColumn("_same", F.lit(True)), "id_key", "left")
+                marked = stage(marked.select("rev_key", "id_key", "cls", (F.col("_tied").isNotNull() | F.col("_same").isNotNull()).alias("tied")), "marked")
+                accepted.append(marked.where("NOT tied").drop("tied"))
+                left = marked.where("tied").drop("tied")
+            if not crowded and not self._larger(left, LOCAL_ROWS):
+                done = stage(one(left).cogroup(one(near)).applyInPandas(lambda r, n: settle(r, n), "rev_key BIGINT, id_key STRING, cls STRING, first BIGINT"), "settled")
+                repeats.append(done.where("first IS NOT NULL").select("rev_key", "first"))
+                accepted.append(done.where("first IS NULL").drop("first"))
                 break
             # a round: open rows before which no open row has their id or an outline like theirs are accepted
             classes = left.where("cls IS NOT NULL").groupBy("cls").agg(F.min("rev_key").alias("_m"))
@@ -315,9 +330,7 @@ class History:
             free = "_b IS NULL AND (_m IS NULL OR _m = rev_key) AND (_i IS NULL OR _i = rev_key)"
             now = stage(judged.select("rev_key", "id_key", "cls", F.expr(free).alias("free")), "judged")
             taken, rest = now.where("free").drop("free"), now.where("NOT free").drop("free")
-            tables = self._as_tables(taken, own)
-            open_own = own.join(rest.select("cls").distinct(), "cls")
-            out = stage(rest.join(self._lookup(rest, open_own, tables["ids"], tables["cells"], tables["outlines"]), "rev_key", "left"), "round")
+            out = stage(rest.join(self._lookup(rest, own.join(rest.select("cls").distinct(), "cls"), self._as_tables(taken, own)), "rev_key", "left"), "round")
             accepted.append(taken)
             beaten.append(out.where("first IS NOT NULL").drop("first"))
             left = out.where("first IS NULL").drop("first")
@@ -325,20 +338,26 @@ class History:
         tables = self._as_tables(union([a.select("rev_key", "id_key", "cls") for a in accepted]), own)
         if beaten:  # which of the rounds' accepted rows comes first
             lost = union(beaten)
-            repeats.append(stage(self._lookup(lost, own.join(lost.select("cls").distinct(), "cls"), tables["ids"], tables["cells"], tables["outlines"]), "lost"))
-        with ThreadPoolExecutor(len(tables)) as pool:
-            list(pool.map(lambda t: self._append(t, tables[t]), tables))
+            repeats.append(stage(self._lookup(lost, own.join(lost.select("cls").distinct(), "cls"), tables), "lost"))
+        for table, frame in tables.items():
+            self._append(table, frame)
         self.empty = False
         return union(repeats).select(F.col("first").alias("rev_key_a"), F.col("rev_key").alias("rev_key_b"))
 
 
+def with_heads(read: DataFrame) -> DataFrame:
+    """Adds `head`: whether a row is the first of its batch with its outline, which stands for the others."""
+    firsts = read.where("cls IS NOT NULL").groupBy("batch", "cls").agg(F.min("rev_key").alias("rev_key")).select("rev_key", F.lit(True).alias("_first"))
+    return read.join(firsts, "rev_key", "left").withColumn("head", F.coalesce("_first", F.lit(False))).drop("_first")
+
+
 def repeats_by_batch(reviews: DataFrame) -> DataFrame:
     """All batches in order, each against the history of those before it: (rev_key_a, rev_key_b).
 
     Null ids match nothing; a null year or an unreadable or empty outline matches by id only. An empty table gives no rows.
     Rows delivered again under their rev_key count once. The number of batches is small (they are runs of a pipeline); each is one call of History.check.
     """
-    read = stage(read_reviews(reviews.dropDuplicates(["rev_key"])), "reviews")
+    read = stage(with_heads(stage(read_reviews(reviews.dropDuplicates(["rev_key"])), "read")), "reviews")
     history = History(reviews.sparkSession)
     found = None
     for row in read.select("batch").distinct().orderBy("batch").collect():  # one row per batch

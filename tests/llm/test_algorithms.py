@@ -256,7 +256,7 @@ def test_cells_hold_every_part():
 
 def test_history_is_opened_with_its_own_buckets(spark, tmp_path):
     rows = [(i, 0, f"id{i}", 2020, square(i, 0, 0.5)) for i in range(60)] + [(100 + i, 1, f"ID-{i}", 2020, None) for i in range(60)] + [(200 + i, 2, None, 2020, square(i + 0.001, 0, 0.5)) for i in range(60)]
-    read = D.read_reviews(spark.createDataFrame(rows, "rev_key BIGINT, batch INT, reviewId STRING, year INT, geometry STRING"))
+    read = D.with_heads(D.read_reviews(spark.createDataFrame(rows, "rev_key BIGINT, batch INT, reviewId STRING, year INT, geometry STRING")))
     first = D.History(spark, str(tmp_path / "h"), buckets=8)
     assert first.check(read.where("batch = 0")).count() == 0
     first.close()
