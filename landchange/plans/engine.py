@@ -852,3 +852,9 @@ def clear_counts_stream(spark, d):
     stream = observation_stream(spark, f"{work}/in", "pixel BIGINT, ts TIMESTAMP_NTZ, qa INT")
     run_once(clear_counts_by_window(stream, "pixel", "ts", "qa"), f"{work}/out", f"{work}/state")
     return spark.read.schema("pixel BIGINT, begin TIMESTAMP, views BIGINT, clear_views BIGINT").parquet(f"{work}/out")
+
+
+@query("SELECT user_id AS pixel, CAST(ts AS DATE) AS day, count(*) AS views, count(*) FILTER (WHERE CAST(json_extract(props, '$.k') AS INTEGER) & 31 = 0) AS clear_views FROM events GROUP BY 1, 2")
+def stream_days(spark, d):
+    """The stream's counts by day, against one aggregate of all rows"""
+    return clear_counts_stream(spark, d).select("pixel", F.col("begin").cast("date").alias("day"), "views", "clear_views")

@@ -2,11 +2,11 @@
 
 import pytest
 
-from landchange.plans import engine, problems
+from landchange.plans import areas, engine, pages, problems
 from tests.compare import connect, same
 
-QUERIES = engine.QUERIES | problems.QUERIES
-ORACLE = engine.ORACLE | problems.ORACLE
+QUERIES = engine.QUERIES | areas.QUERIES | pages.QUERIES | problems.QUERIES
+ORACLE = engine.ORACLE | areas.ORACLE | pages.ORACLE | problems.ORACLE
 
 
 @pytest.fixture(scope="module")

@@ -225,6 +225,39 @@ def test_constraint(spark):
         records.require_none(bad, "not listed")
 
 
+def test_guards(spark):
+    rows = spark.createDataFrame([("a", [1, 2]), ("b", None)], "k STRING, sizePx ARRAY<INT>")
+    assert records.require_some(rows, "scenes") is rows and records.exactly_one(rows.where("k = 'a'"), "area")["k"] == "a"
+    records.require_known(["a", "b"], rows, "k")
+    for bad in (lambda: records.require_some(rows.limit(0), "scenes"), lambda: records.exactly_one(rows, "area"), lambda: records.exactly_one(rows.limit(0), "area"), lambda: records.require_known(["a", "z"], rows, "k")):
+        with pytest.raises(ValueError):
+            bad()
+    fresh = spark.createDataFrame([("a", [1, 3]), ("b", None)], "k STRING, sizePx ARRAY<INT>")
+    assert [r.k for r in records.resized(rows, fresh, "k").collect()] == ["a"]
+
+
+def test_saved_reviews(spark):
+    """A further decision keeps the review's id; a null one deletes; reasons belong to rejects."""
+    ddl = "reviewId STRING, rev_key BIGINT, runId STRING, candidateId STRING, decision STRING, reason STRING, note STRING"
+    store = spark.createDataFrame([("r1", 1, "x", "c", "confirm", None, "n"), ("r2", 2, "x", "d", "reject", "road", None)], ddl)
+    changes = spark.createDataFrame([(None, 3, "x", "c", "reject", None, "y" * 3000), ("r2", 4, "x", "d", None, None, None), ("r3", 5, "x", "e", "confirm", "road", "")], ddl)
+    got = {r.reviewId: (r.rev_key, r.decision, r.reason, len(r.note or "")) for r in records.save_reviews(store, changes).collect()}
+    assert got == {"r1": (3, "reject", "other", 2000), "r3": (5, "confirm", None, 0)}
+
+
+def test_union_area_and_crossings():
+    import numpy as np
+
+    from landchange.operators import overlap
+
+    box = lambda x, y, w: np.array([[x, y, x + w, y], [x, y + w, x + w, y + w]], float)
+    assert overlap.union_area([box(0, 0, 2), box(1, 1, 2), box(0, 0, 1), np.zeros((0, 4))]) == pytest.approx(7) and overlap.union_area([]) == 0
+    bow = '{"type":"Polygon","coordinates":[[[0,0],[2,2],[2,0],[0,2],[0,0]]]}'
+    plain = '{"type":"Polygon","coordinates":[[[0,0],[2,0],[2,2],[0,2],[0,0]]]}'
+    assert overlap.crosses_itself(overlap.all_edges(bow)) and not overlap.crosses_itself(overlap.all_edges(plain))
+    assert overlap.areas(overlap.outline_edges(bow), overlap.outline_edges(plain)) == pytest.approx((2, 4, 2))
+
+
 def test_labels(spark):
     assert one(spark, text.year_label(F.array(F.lit(2001), F.lit(1999))).alias("x")).x == "1999-2001"
     assert one(spark, text.month_label(F.lit(1), F.lit(5)).alias("x")).x == "Jan-May"

@@ -6,7 +6,7 @@ from landchange.plans import engine
 
 
 def test_radar_takes_every_view(spark, data):
-    found = {r["pixel"]: (r["db"], r["db_std"]) for r in engine.radar_stats_all(spark, data).collect()}
+    found = {r["pixel"]: (r["db"], r["db_std"]) for r in engine.radar_stats(spark, data).collect()}
     views = spark.read.parquet(f"{data}/events.parquet").select(F.col("user_id").alias("pixel"), "value")
     assert set(found) == {r["pixel"] for r in views.select("pixel").distinct().collect()}
     db = F.when(F.col("value") > 0, 10 * F.log10("value"))
@@ -23,11 +23,11 @@ def test_gate_measures_outlines(spark, data):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k INT, t STRING").withColumn("g", G.geojson_polygons(F.col("t")))
     ha = dict(G.measured_ha(rows, "g").select("k", "measured").collect())
     assert abs(ha[0] / 12308.8 - 1) < 0.005 and abs(ha[1] / ha[0] - 0.75) < 0.001 and ha[2] is None
-    assert len({r["measured"] for r in engine.area_gate_measured(spark, data).collect()}) > 1
+    assert len({r["measured"] for r in engine.area_gate(spark, data).collect()}) > 1
 
 
 def test_candidates_are_relinked(spark, data):
-    found = engine.relink_outlines(spark, data)
+    found = engine.relink_iou(spark, data)
     keys = spark.read.parquet(f"{data}/candidates.parquet").select(F.col("cand_key").alias("candidate"), F.lower("reviewId").alias("known")).distinct()
     links = found.join(keys, "candidate").collect()
     assert links and all(0.3 <= r["iou"] <= 1 for r in links)
