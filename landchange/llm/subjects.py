@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from landchange.session import stage
 
 #: Labelled documents that are learnt from at most (by hash, where there are more), and how many make a shard.
-MAX_LABELLED, SHARD_DOCUMENTS = 50_000, 1_000
+MAX_LABELLED, SHARD_DOCUMENTS = 50_000, 2_500
 BUCKETS, WIDTH, ROUNDS, SOFT_ROUNDS, RATE = 1 << 15, 24, 40, 15, 0.15
 #: Share of a document's sentences from which a subject is its own; probability from which a sentence is about a subject.
 LEAST_SHARE, LEAST_P = 0.2, 0.5
@@ -186,7 +186,8 @@ def train(labelled: DataFrame, outputs: int, seed: int = 0) -> dict[str, np.ndar
 
     labelled = stage(labelled, "labelled")
     count = -(-labelled.count() // SHARD_DOCUMENTS) or 1  # by rows; at most MAX_LABELLED / SHARD_DOCUMENTS or so
-    shards = stage(labelled.repartition(count, F.xxhash64("doc_id")).mapInPandas(pack, "shard BINARY"), "shards").repartition(count)
+    # held by the executors from round to round; what is lost with one is read again from the written table
+    shards = stage(labelled.repartition(count, F.xxhash64("doc_id")).mapInPandas(pack, "shard BINARY"), "shards").repartition(count).persist()
     learner = Adam(start_weights(outputs, seed))
     for turn in range(ROUNDS):
         shared, soft = spark.sparkContext.broadcast(learner.weights), turn < SOFT_ROUNDS
@@ -207,7 +208,8 @@ def train(labelled: DataFrame, outputs: int, seed: int = 0) -> dict[str, np.ndar
             whole["w"] += g["w"] / total
             whole["b"] += g["b"] / total
         learner.step(whole)
-        shared.unpersist()
+        shared.destroy()  # the round is over, no task asks for it again
+    shards.unpersist()
     return learner.weights
 
 
