@@ -191,7 +191,7 @@ def points_in_areas(points: DataFrame, edges: DataFrame) -> DataFrame:
             out["strip"] = (np.concatenate([np.arange(a, b + 1) for a, b in zip(low, high)]) if len(batch) else np.array([])).astype("int32")
             yield out[["strip", "region", "part", "x0", "y0", "x1", "y1"]]
 
-    placed = points.select("k", "x", "y").mapInPandas(strip_of_points, f"k {point_kind}, x DOUBLE, y DOUBLE, strip INT") if strips > 1 else points.select("k", "x", "y", F.lit(0).alias("strip"))
+    placed = points.select("k", "x", "y").mapInPandas(strip_of_points, f"k {point_kind}, x DOUBLE, y DOUBLE, strip INT")
     cut_edges = edges.mapInPandas(strips_of_edges, f"strip INT, region {region_kind}, part INT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE")
     # at most MAX_STRIPS rows: how many tasks share a strip's points
     shares = placed.groupBy("strip").agg((F.count("*") / STRIP_POINTS + 1).cast("int").alias("shares"))
