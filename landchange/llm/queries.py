@@ -72,7 +72,10 @@ def _sizes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mix_report(_sizes(spark, d), _table(spark, d, "mix_targets")).where("short").select("mix_id", "source")
+    """Sources whose slots of the mix ask for more tokens than their blocks hold in max_repeats rounds."""
+    from landchange.session import stage
+
+    return mixing.fall_short(stage(_sizes(spark, d), "sizes"), "doc_id", _table(spark, d, "mix_targets")).select("mix_id", "source")
 
 
 def p8_report(spark: SparkSession, d: str) -> DataFrame:
